@@ -67,7 +67,7 @@ def role_sql(engine: str) -> dict[str, str]:
     return {
         "application": """
     SELECT c_custkey AS SK_ID_CURR,
-      CASE WHEN c_mktsegment <> 'MACHINERY' THEN CASE WHEN c_acctbal < 1000 THEN 1 ELSE 0 END END AS TARGET,
+      CASE WHEN c_mktsegment <> 'MACHINERY' THEN CASE WHEN c_acctbal - 100 * c_nationkey + 6000 * sin(c_custkey) < 0 THEN 1 ELSE 0 END END AS TARGET,
       CASE WHEN c_acctbal < 5000 THEN 'Cash loans' WHEN c_acctbal < 9500 THEN 'Revolving loans' END AS NAME_CONTRACT_TYPE,
       CASE WHEN c_nationkey < 12 THEN 'F' WHEN c_nationkey < 23 THEN 'M' WHEN c_nationkey = 23 THEN 'XNA' END AS CODE_GENDER,
       CASE WHEN c_acctbal > 3000 THEN 'Y' ELSE 'N' END AS FLAG_OWN_CAR,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from tallyloom.functions.scalars import nan_to_null
+
 
 def total(x: str) -> str:
     """Sum in which a group without any value is 0, not missing."""
@@ -33,10 +35,10 @@ def latest_present(x: str, order: str) -> str:
 
 
 def pearson(x: str, y: str) -> str:
-    """Pairwise-complete correlation; missing when either side is constant."""
+    """Pairwise-complete correlation; missing when either side is constant or holds infinities."""
     xd = f"(CASE WHEN {y} IS NOT NULL THEN double({x}) END)"
     yd = f"(CASE WHEN {x} IS NOT NULL THEN double({y}) END)"
-    return f"try_divide(covar_pop({xd}, {yd}), sqrt(var_pop({xd}) * var_pop({yd})))"
+    return nan_to_null(f"try_divide(covar_pop({xd}, {yd}), sqrt(var_pop({xd}) * var_pop({yd})))")
 
 
 # name of the function in an aggregate specification -> expression over one column

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.columns import quoted
-from tallyloom.functions.scalars import INFINITY, MINUS_INFINITY, ratio
+from tallyloom.functions.scalars import ratio
 from tallyloom.functions.scalars import name as col_name
 from tallyloom.operators.ordered import with_prefix_sum
 from tallyloom.operators.schema import feature_columns, split_by_label
@@ -75,12 +75,9 @@ def feature_vector(columns: Sequence[str]) -> Column:
     """Dense vector; missing becomes a value below all others, infinities a large one."""
     cells = []
     for c in columns:
-        x = f"double({col_name(c)})"
-        cells.append(
-            f"CASE WHEN {x} = {INFINITY} THEN {LARGE_FEATURE!r}D"
-            f" WHEN {x} = {MINUS_INFINITY} THEN {-LARGE_FEATURE / 10!r}D"
-            f" ELSE coalesce({x}, {MISSING_FEATURE!r}D) END"
-        )
+        bounded = f"greatest(least(double({col_name(c)}), {LARGE_FEATURE!r}D), {-LARGE_FEATURE / 10!r}D)"
+        # greatest and least skip missing arguments, so missing is settled first
+        cells.append(f"IF({col_name(c)} IS NULL, {MISSING_FEATURE!r}D, {bounded})")
     return array_to_vector(F.expr(f"array({', '.join(cells)})"))
 
 

@@ -20,16 +20,23 @@ from tallyloom.functions.scalars import called
 from tallyloom.functions.scalars import name as col_name
 from tallyloom.operators.staging import stage
 
+# At most this many ranges; tables of distinct values below ROWS_PER_RANGE are not cut.
 RANGES = 4096
+ROWS_PER_RANGE = 200_000
 _V, _C, _B, _LO = "__value", "__count", "__range", "__before"
 
 
-def with_range(df: DataFrame, column: str, ranges: int = RANGES) -> DataFrame:
-    """Add the index of the value range a numeric column falls in."""
+def with_range(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
+    """Add the index of the value range a numeric column falls in.
+
+    The number of ranges follows the number of rows unless it is given.
+    """
+    if ranges is None:
+        ranges = min(RANGES, df.count() // ROWS_PER_RANGE + 1)
+    if ranges < 2:
+        return df.withColumn(_B, F.lit(0.0))
     probabilities = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(df.stat.approxQuantile(column, probabilities, 0.5 / ranges)))
-    if not cuts:
-        return df.withColumn(_B, F.lit(0.0))
     splits = [float("-inf"), *[c for c in cuts if abs(c) != float("inf")], float("inf")]
     if len(splits) < 3:
         return df.withColumn(_B, F.lit(0.0))
@@ -37,7 +44,7 @@ def with_range(df: DataFrame, column: str, ranges: int = RANGES) -> DataFrame:
 
 
 def with_prefix_sum(
-    df: DataFrame, order: str, amount: str, name: str, by: Sequence[str] = (), ranges: int = RANGES
+    df: DataFrame, order: str, amount: str, name: str, by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Add the sum of ``amount`` over all rows of smaller ``order``.
 
@@ -63,7 +70,7 @@ def quantiles(
     column: str,
     probabilities: dict[str, float],
     by: Sequence[str] = (),
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles of one column per group.
 

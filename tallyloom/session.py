@@ -17,7 +17,5 @@ def local_session(name: str = "tallyloom", cores: int | None = None) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
-        # wide feature aggregates stay in generated code
-        .config("spark.sql.codegen.maxFields", "300")
         .getOrCreate()
     )
