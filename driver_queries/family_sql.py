@@ -141,8 +141,8 @@ def bureau() -> dict[str, str]:
             n = f"{column}_{f.upper()}"
             ratios.append(f"{div(f'ACTIVE_{n}', f'CLOSED_{n} + 1')} AS NEW_RATIO_BURO_{n}")
     return {
-        "bb_dpd": """SELECT SK_ID_BUREAU, sum(CASE WHEN STATUS IS NOT DISTINCT FROM '0' THEN 0e0
-          ELSE pow(CAST(1.2 AS DOUBLE), MONTHS_BALANCE) END) AS DPD_SCORE FROM bureau_balance
+        "bb_dpd": """SELECT SK_ID_BUREAU, coalesce(sum(CASE WHEN STATUS IS NOT DISTINCT FROM '0' THEN 0e0
+          ELSE pow(CAST(1.2 AS DOUBLE), MONTHS_BALANCE) END), 0e0) AS DPD_SCORE FROM bureau_balance
           WHERE STATUS IS DISTINCT FROM 'C' AND STATUS IS DISTINCT FROM 'X' GROUP BY SK_ID_BUREAU""",
         "loans": """SELECT SK_ID_CURR, CREDIT_ACTIVE, CREDIT_TYPE, AMT_CREDIT_SUM_OVERDUE, DPD_SCORE,
           CASE WHEN DAYS_CREDIT_ENDDATE >= -200000 THEN DAYS_CREDIT_ENDDATE - DAYS_CREDIT END AS ENDDATE_DIFF,
