@@ -270,11 +270,13 @@ def previous() -> dict[str, str]:
 
 def pos() -> dict[str, str]:
     latest = """SELECT SK_ID_CURR, SK_ID_PREV, {c} AS v FROM (SELECT *, row_number() OVER (
-      PARTITION BY SK_ID_CURR, SK_ID_PREV ORDER BY MONTHS_BALANCE DESC NULLS LAST, {c} DESC) AS rn
+      PARTITION BY SK_ID_CURR, SK_ID_PREV ORDER BY MONTHS_BALANCE DESC NULLS LAST, {tie} DESC) AS rn
       FROM POS_CASH_balance WHERE {c} IS NOT NULL AND SK_ID_PREV IS NOT NULL) WHERE rn = 1"""
+    # rows of one month have no order: completed before active before others
+    state = "CASE NAME_CONTRACT_STATUS WHEN 'Completed' THEN 2 WHEN 'Active' THEN 1 ELSE 0 END"
     return {
-        "pos_status": latest.format(c="NAME_CONTRACT_STATUS"),
-        "pos_future": latest.format(c="CNT_INSTALMENT_FUTURE"),
+        "pos_status": latest.format(c="NAME_CONTRACT_STATUS", tie=state),
+        "pos_future": latest.format(c="CNT_INSTALMENT_FUTURE", tie="CNT_INSTALMENT_FUTURE"),
         "pos_contracts": """SELECT SK_ID_CURR, count(DISTINCT SK_ID_PREV) AS POS_CNT_PREV_ID, count(*) AS POS_COUNT
           FROM POS_CASH_balance GROUP BY SK_ID_CURR""",
         "pos_states": """SELECT c.SK_ID_CURR, count(*) FILTER (WHERE s.v = 'Completed') AS POS_CNT_COMPLETED,

@@ -1,4 +1,9 @@
-"""Aggregate expressions, as Spark SQL text, with the missing-value rules of the families."""
+"""Aggregate expressions, as Spark SQL text, with the missing-value rules of the families.
+
+Means and shares are written as sum over count: the engine keeps equal aggregates
+once, so a column with mean and sum, or a category list over one row set, needs
+about half the aggregation buffer (and half the shuffled bytes) of separate averages.
+"""
 
 from __future__ import annotations
 
@@ -13,12 +18,12 @@ def total(x: str) -> str:
 
 
 def mean(x: str) -> str:
-    return f"avg(double({x}))"
+    return f"try_divide(sum(double({x})), double(count({x})))"
 
 
 def share(hit: str) -> str:
     """Mean of a 0/1 indicator; an unknown comparison counts as 0."""
-    return f"avg(CASE WHEN {hit} THEN 1.0D ELSE 0.0D END)"
+    return f"try_divide(double(count_if({hit})), double(count(1)))"
 
 
 def hits(hit: str) -> str:
@@ -34,6 +39,16 @@ def latest_present(x: str, order: str) -> str:
     return f"max_by({x}, CASE WHEN {x} IS NOT NULL THEN struct({order}, {x}) END)"
 
 
+def latest_code(code: str, codes: int, order: str) -> str:
+    """Like ``latest_present`` for a small code 0..codes-1 and a whole-number order.
+
+    Order and code are packed into one long, so the group needs a plain hash
+    aggregate where ``max_by`` over a struct would have every row sorted first.
+    """
+    packed = f"coalesce(bigint({order}), -{1 << 40}) * {codes} + {code}"
+    return f"pmod(max({packed}), {codes})"
+
+
 def pearson(x: str, y: str) -> str:
     """Pairwise-complete correlation; missing when either side is constant or holds infinities."""
     xd = f"(CASE WHEN {y} IS NOT NULL THEN double({x}) END)"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import scalars as X
-from tallyloom.functions.aggregates import AGGREGATES, hits, latest_present, total
+from tallyloom.functions.aggregates import AGGREGATES, hits, latest_code, total
 from tallyloom.operators.aggregate import (
     agg_exprs,
     group_by_present,
@@ -21,6 +21,14 @@ from tallyloom.plans.score_terms import CC_SCORE, INSTAL_SCORE, POS_SCORE
 # --- POS ------------------------------------------------------------------
 
 
+# codes of the states that matter; missing values take no part in "latest"
+_STATUS_CODE = (
+    "CASE WHEN NAME_CONTRACT_STATUS = 'Completed' THEN 2 WHEN NAME_CONTRACT_STATUS = 'Active' THEN 1"
+    " WHEN NAME_CONTRACT_STATUS IS NOT NULL THEN 0 END"
+)
+_OWING_CODE = "CASE WHEN CNT_INSTALMENT_FUTURE > 0 THEN 1 WHEN CNT_INSTALMENT_FUTURE IS NOT NULL THEN 0 END"
+
+
 def pos_contracts(pos: DataFrame) -> DataFrame:
     """One row per contract: latest state and worst arrears while active.
 
@@ -31,8 +39,9 @@ def pos_contracts(pos: DataFrame) -> DataFrame:
     summaries = {
         "months": "count(1)",
         "active_months": hits(active),
-        "status": latest_present("NAME_CONTRACT_STATUS", "MONTHS_BALANCE"),
-        "future": latest_present("CNT_INSTALMENT_FUTURE", "MONTHS_BALANCE"),
+        "completed": f"{latest_code(_STATUS_CODE, 3, 'MONTHS_BALANCE')} = 2",
+        "active": f"{latest_code(_STATUS_CODE, 3, 'MONTHS_BALANCE')} = 1",
+        "owing": f"{latest_code(_OWING_CODE, 2, 'MONTHS_BALANCE')} = 1",
         "SK_DPD_MAX": f"max(CASE WHEN {active} THEN SK_DPD END)",
         "SK_DPD_DEF_MAX": f"max(CASE WHEN {active} THEN SK_DPD_DEF END)",
     }
@@ -53,8 +62,8 @@ def pos_aggregates(pos: DataFrame) -> DataFrame:
     )
     spec = {"SK_DPD_MAX": ["max", "mean"], "SK_DPD_DEF_MAX": ["max", "mean"], "DPD_RATIO": ["max", "mean"]}
     any_contract = hits(contract)
-    completed = hits(f"{contract} AND status = 'Completed'")
-    running = hits(f"{contract} AND status = 'Active' AND future > 0")
+    completed = hits(f"{contract} AND completed")
+    running = hits(f"{contract} AND active AND owing")
     counts = {
         "POS_CNT_COMPLETED": f"CASE WHEN {any_contract} > 0 THEN {completed} END",
         "POS_CNT_ACTIVED": f"CASE WHEN {any_contract} > 0 THEN {running} END",
