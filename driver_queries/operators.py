@@ -537,8 +537,8 @@ def topk_semi(spark, folder):
       FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1) ON s = v"""
 )
 def factorize_codes(spark, folder):
-    rows = read(spark, folder, "customer").selectExpr("c_custkey", "nullif(c_mktsegment, 'BUILDING') AS s")
-    return factorize(rows, "s", "c_custkey", "code").select("c_custkey", "code")
+    rows = read(spark, folder, "customer").selectExpr("c_custkey", "nullif(c_mktsegment, 'BUILDING') AS code")
+    return factorize(rows, ["code"], "c_custkey")
 
 
 @query(

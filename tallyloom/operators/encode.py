@@ -58,27 +58,40 @@ def one_hot(
 
 
 def factorize(
-    df: DataFrame, column: str, order: str, name: str, small_rows: int = SMALL_TABLE_ROWS
+    df: DataFrame, columns: Sequence[str], order: str, small_rows: int = SMALL_TABLE_ROWS
 ) -> DataFrame:
-    """Codes 0, 1, ... by first appearance in ``order`` (numeric, unique); missing is -1."""
+    """Replace columns by codes 0, 1, ... in order of first appearance; missing is -1.
+
+    ``order`` is a unique number per row. One pass finds the first appearance of every
+    value of all columns; the codes are joined back column by column.
+    """
+    cells = ", ".join(
+        f"struct({literal(c)} AS c, string({col_name(c)}) AS v, {col_name(order)} AS o)" for c in columns
+    )
     first = stage(
-        df.filter(quoted(column).isNotNull())
-        .groupBy(quoted(column).alias("__category"))
-        .agg(F.count(F.lit(1)).alias(_N), F.min(quoted(order)).alias("__first"))
+        df.selectExpr(f"inline(array({cells}))")
+        .filter("v IS NOT NULL")
+        .groupBy("c", "v")
+        .agg(F.count(F.lit(1)).alias(_N), F.min("o").alias("o"))
     )
     if first.limit(small_rows + 1).count() <= small_rows:
-        place = F.row_number().over(Window.orderBy("__first")) - 1  # over the small vocabulary
-        codes = first.withColumn("__code", place)
+        place = F.row_number().over(Window.partitionBy("c").orderBy("o")) - 1
+        codes = first.withColumn("code", place)
     else:
-        codes = stage(
-            with_prefix_sum(first.withColumn("__one", F.lit(1)), "__first", "__one", "__code").drop("__one")
+        ranked = with_prefix_sum(first.withColumn("one", F.lit(1)), "o", "one", "code", ["c"])
+        codes = stage(ranked.drop("one"))
+    for column in columns:
+        own = codes.filter(F.col("c") == column).selectExpr("v AS __v", _N, "int(code) AS __code")
+        coded = attach(
+            df.withColumn("__v", quoted(column).cast("string")), own, ["__v"], small_rows=small_rows
         )
-    codes = codes.select(F.col("__category"), F.col(_N), F.col("__code").cast("int").alias("__code"))
-    coded = attach(
-        df.withColumn("__category", quoted(column)), codes, ["__category"], small_rows=small_rows
-    )
-    kept = [col_name(c) for c in df.columns if c != name]
-    return coded.selectExpr(*kept, called("coalesce(__code, -1)", name))
+        df = coded.selectExpr(
+            *[
+                called("coalesce(__code, -1)", c) if c == column else col_name(c)
+                for c in df.columns
+            ]
+        )
+    return df
 
 
 def label_encode_binary(

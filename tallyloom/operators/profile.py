@@ -19,6 +19,9 @@ from tallyloom.operators.ordered import median, quantiles
 from tallyloom.operators.schema import string_columns
 
 
+MAX_CLASSES = 100
+
+
 def per_column(
     df: DataFrame, columns: Sequence[str], statistics: Mapping[str, Callable[[str], str]]
 ) -> DataFrame:
@@ -107,10 +110,10 @@ def class_density(
     """
     known = keyed(df, column, label)
     if bandwidth is None:
-        cases = "".join(
-            f" WHEN {name(label)} = {literal(r[0])} THEN {literal(r[1])}"
-            for r in scott_bandwidth(known, column, label).collect()
-        )
+        widths = scott_bandwidth(known, column, label).limit(MAX_CLASSES + 1).collect()
+        if len(widths) > MAX_CLASSES:
+            raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class label")
+        cases = "".join(f" WHEN {name(label)} = {literal(r[0])} THEN {literal(r[1])}" for r in widths)
         width = f"(CASE{cases} END)" if cases else "double(NULL)"
     else:
         width = literal(float(bandwidth))

@@ -63,10 +63,8 @@ def application_features(
     )
     df = filled_with_mean(with_exprs(df, derived_columns(shift)), "NEW_SCORES_STD")
     df = appearance_order(df)
-    for binary in ("CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY"):
-        # a column that is dropped below need not be coded
-        if binary not in names.APPLICATION_USELESS:
-            df = factorize(df, binary, _ORDER, binary)
+    # FLAG_OWN_CAR would be coded as well, but is dropped below
+    df = factorize(df, ["CODE_GENDER", "FLAG_OWN_REALTY"], _ORDER)
     df = drop_columns(df, [_ORDER, *names.APPLICATION_USELESS, *names.APPLICATION_OPTIONAL])
     df, _ = one_hot(df, nan_as_category=True, vocabulary=vocabulary)
     return drop_columns(df, names.APPLICATION_INDICATORS_DROPPED)

@@ -112,8 +112,10 @@ def test_factorize_small_and_large_vocabulary(spark):
     rows = [(3, "b"), (1, None), (2, "b"), (5, "a"), (4, "c"), (6, "a"), (7, None)]
     df = spark.createDataFrame(rows, "o int, c string")
     want = {1: -1, 2: 0, 3: 0, 4: 1, 5: 2, 6: 2, 7: -1}
+    df = df.withColumn("d", F.upper("c"))
     for small in (10, 0):
-        assert {r.o: r.code for r in factorize(df, "c", "o", "code", small).collect()} == want
+        coded = factorize(df, ["c", "d"], "o", small).collect()
+        assert {r.o: r.c for r in coded} == want and {r.o: r.d for r in coded} == want
 
 
 def test_one_hot(spark):
