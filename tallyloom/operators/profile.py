@@ -7,6 +7,7 @@ unpivoted to one row per column.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tallyloom.operators.schema import string_columns
 
 
 MAX_CLASSES = 100
+COLUMNS_AT_ONCE = 40
 
 
 def per_column(
@@ -63,11 +65,17 @@ def missing_profile(df: DataFrame) -> DataFrame:
 
 
 def label_correlations(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Correlation of every column with the label, strongest first; undefined ones last."""
+    """Correlation of every column with the label, strongest first; undefined ones last.
+
+    A wide table is handled some columns at a time, so that no aggregate outgrows
+    generated code; it should be a written one, of which each part reads its own columns.
+    """
     columns = list(columns or df.columns)
-    return per_column(df, columns, {"corr": lambda c: pearson(c, name(label))}).orderBy(
-        F.abs("corr").desc_nulls_last(), "column"
-    )
+    parts = [
+        per_column(df, columns[i : i + COLUMNS_AT_ONCE], {"corr": lambda c: pearson(c, name(label))})
+        for i in range(0, len(columns), COLUMNS_AT_ONCE)
+    ]
+    return reduce(DataFrame.unionByName, parts).orderBy(F.abs("corr").desc_nulls_last(), "column")
 
 
 def strongest(correlations: DataFrame, n: int = 15) -> DataFrame:

@@ -12,6 +12,7 @@ from tallyloom.operators.encode import label_encode_binary, one_hot
 from tallyloom.operators.joins import left_assemble
 from tallyloom.operators.profile import extremes, label_correlations
 from tallyloom.operators.schema import align_columns, drop_columns
+from tallyloom.operators.staging import stage
 from tallyloom.plans import names
 from tallyloom.plans.bureau_history import loan_history, missed_payment_flag
 from tallyloom.plans.previous_history import previous_history
@@ -58,4 +59,4 @@ def first_version_tables(
 
 def label_links(train: DataFrame, n: int = 15) -> DataFrame:
     """The most negative and most positive correlations with the label."""
-    return extremes(label_correlations(train, "TARGET"), n)
+    return extremes(stage(label_correlations(stage(train), "TARGET")), n)
