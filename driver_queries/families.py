@@ -14,7 +14,7 @@ from tallyloom.plans.application import application_features
 from tallyloom.plans.balances import card_features, installment_features, pos_features
 from tallyloom.plans.bureau import bureau_features
 from tallyloom.plans.bureau_history import loan_history, missed_payment_flag
-from tallyloom.plans.first_version import first_version_tables, label_links
+from tallyloom.plans.first_version import clean_application, first_version_tables, label_links
 from tallyloom.plans.previous import previous_features
 from tallyloom.plans.previous_history import previous_history
 
@@ -103,6 +103,31 @@ def previous_history_family(spark, folder):
     )
 
 
+_YEARS = ("DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_REGISTRATION", "DAYS_ID_PUBLISH")
+_CHILDREN = """CASE WHEN CNT_CHILDREN > 3 THEN 'over_three' ELSE
+  CASE CNT_CHILDREN WHEN 0 THEN 'zero' WHEN 1 THEN 'one' WHEN 2 THEN 'two' WHEN 3 THEN 'three' END END"""
+_INCOME = """CASE NAME_INCOME_TYPE WHEN 'Working' THEN 'Working' WHEN 'Commercial associate' THEN 'Commercial associate'
+  WHEN 'Pensioner' THEN 'Pensioner' WHEN 'State servant' THEN 'State servant' ELSE 'others' END"""
+
+
+@query(
+    with_roles(
+        ("application",),
+        {},
+        f"""SELECT SK_ID_CURR, TARGET, {_CHILDREN} AS CNT_CHILDREN, {_INCOME} AS NAME_INCOME_TYPE,
+        DAYS_BIRTH / -365e0 AS DAYS_BIRTH, CASE WHEN DAYS_EMPLOYED <> 365243 THEN DAYS_EMPLOYED / -365e0 END AS DAYS_EMPLOYED,
+        DAYS_REGISTRATION / -365e0 AS DAYS_REGISTRATION, DAYS_ID_PUBLISH / -365e0 AS DAYS_ID_PUBLISH,
+        AMT_REQ_CREDIT_BUREAU_HOUR + AMT_REQ_CREDIT_BUREAU_DAY + AMT_REQ_CREDIT_BUREAU_WEEK + AMT_REQ_CREDIT_BUREAU_MON
+          AS REQ_CNT, FLAG_OWN_REALTY, AMT_CREDIT FROM application""",
+    )
+)
+def first_version_applications(spark, folder):
+    return clean_application(role(spark, folder, "application")).select(
+        "SK_ID_CURR", "TARGET", "CNT_CHILDREN", "NAME_INCOME_TYPE", *_YEARS, "REQ_CNT", "FLAG_OWN_REALTY",
+        "AMT_CREDIT",
+    )
+
+
 @query(
     with_roles(_ALL_ROLES, S.assembled(), "SELECT * FROM fam_assembled"),
     {
