@@ -387,7 +387,7 @@ def two_level(spark, folder):
     )
     orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey")
     keys = ["o_custkey", "o_orderkey", "l_partkey", "l_returnflag", "s"]
-    inner = group_by_present(lines.join(orders, "o_orderkey"), *keys).agg(_expr(total("l_quantity"), "q"))
+    inner = group_by_present(joins.lookup(lines, orders, "o_orderkey"), *keys).agg(_expr(total("l_quantity"), "q"))
     return inner.groupBy("o_custkey").agg(*agg_exprs({"q": ["max", "mean"]}, "LINE_"), size_expr("groups"))
 
 
@@ -461,7 +461,7 @@ def product_families(spark, folder):
 def payment_behaviour(spark, folder):
     lines = read(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    rows = lines.join(orders, "o_orderkey").selectExpr(
+    rows = joins.lookup(lines, orders, "o_orderkey").selectExpr(
         "o_custkey",
         X.called(X.positive_part("datediff(l_shipdate, o_orderdate)"), "late"),
         X.called(X.positive_part("datediff(o_orderdate, l_shipdate)"), "early"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.operators.joins import lookup
 from tallyloom.sources import schemas
 from tallyloom.sources.tables import conform
 
@@ -193,10 +194,21 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
+def ordered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with their order's columns; one order may own very many lines."""
+    lines = read(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    joined = lookup(lines, read(spark, folder, "orders"), "o_orderkey")
+    return joined.withColumn("l_orderkey", joined["o_orderkey"])
+
+
 def role(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One derived input table with its declared schema."""
-    sources = {t: read(spark, folder, t) for t in SOURCES[name]}
     text = role_sql("spark")[name]
+    if SOURCES[name] == ("lineitem", "orders"):
+        text = text.replace("lineitem JOIN orders ON l_orderkey = o_orderkey", "lines")
+        sources = {"lines": ordered_lines(spark, folder)}
+    else:
+        sources = {t: read(spark, folder, t) for t in SOURCES[name]}
     for table in sources:
         text = text.replace(f"FROM {table}", f"FROM {{{table}}}").replace(f"JOIN {table}", f"JOIN {{{table}}}")
     return conform(spark.sql(text, **sources), _SCHEMAS[name])

@@ -23,6 +23,8 @@ from tallyloom.operators.staging import stage
 HOT_PARTS = 20_000
 # A per-key table of at most this many rows is broadcast as a whole.
 SMALL_TABLE_ROWS = 100_000
+# A lookup treats at most this many keys as crowded.
+LOOKUP_HOT_KEYS = 500
 _N = "__rows"
 
 
@@ -86,6 +88,46 @@ def keep_groups(
     return attach(detail, table, keys, semi=True, wanted=F.col("__keep"), **attach_options)
 
 
+def crowded_keys(detail: DataFrame, key: str, limit: int = LOOKUP_HOT_KEYS) -> list:
+    """Keys that own more than 1/limit of the rows, found by a frequent-items sketch.
+
+    One scan of the key column and one small result. The sketch may overstate counts
+    a little; that moves a key to the broadcast side and never changes a result.
+    """
+    found = keyed(detail, key).agg(
+        F.expr(f"approx_top_k({name(key)}, {limit}, {limit * 10})").alias("top"), size_expr("n")
+    )
+    row = found.selectExpr(f"transform(filter(top, t -> t.count * {limit} > n), t -> t.item) AS keys").first()
+    return list(row["keys"] or [])
+
+
+def lookup(
+    detail: DataFrame, table: DataFrame, key: str, how: str = "inner", small_rows: int = SMALL_TABLE_ROWS
+) -> DataFrame:
+    """Many-to-one join of detail rows with a table that is unique on the key.
+
+    A small table is broadcast. Otherwise rows of crowded keys get their at most
+    ``LOOKUP_HOT_KEYS`` table rows by broadcast, the others by shuffle; without crowded
+    keys it is an ordinary join.
+    """
+    if table.limit(small_rows + 1).count() <= small_rows:
+        return detail.join(F.broadcast(table), key, how)
+    hot = crowded_keys(detail, key)
+    known = keyed(detail, key)
+    parts = []
+    if hot:
+        parts.append(known.filter(F.col(name(key)).isin(hot)).join(
+            F.broadcast(table.filter(F.col(name(key)).isin(hot))), key, how
+        ))
+        known = known.filter(~F.col(name(key)).isin(hot))
+    parts.append(known.join(table, key, how))
+    if how == "left":
+        keyless = detail.filter(f"{name(key)} IS NULL")
+        extra = [f for f in table.schema.fields if f.name != key]
+        parts.append(keyless.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def left_assemble(base: DataFrame, key: str, families: Sequence[DataFrame]) -> DataFrame:
     """Base rows with every family's columns; families hold one row per key."""
     return reduce(lambda acc, family: acc.join(family, key, "left"), families, base)

@@ -57,6 +57,24 @@ def test_keep_groups(spark, options, limit):
     assert {r.id for r in kept.collect()} == want and kept.count() == len(want)
 
 
+@pytest.mark.parametrize("small_rows", [100, 0])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup(spark, small_rows, how):
+    rows = skewed_rows()
+    df = spark.createDataFrame(rows, "id int, k int, x double")
+    table = spark.createDataFrame([(k, f"v{k}") for k in range(0, 60, 2)], "k int, v string")
+    got = sorted(tuple(r) for r in joins.lookup(df, table, "k", how, small_rows).select("id", "v").collect())
+    found = {i: f"v{k}" if k is not None and k % 2 == 0 else None for i, k, _ in rows}
+    want = [(i, v) for i, v in found.items() if v is not None or how == "left"]
+    assert [g[0] for g in got] == [w[0] for w in sorted(want)] and dict(got) == dict(want)
+
+
+def test_crowded_keys(spark):
+    rows = [(0,)] * 400 + [(i,) for i in range(1, 1201)] + [(None,)] * 50
+    assert joins.crowded_keys(spark.createDataFrame(rows, "k int"), "k", limit=100) == [0]
+    assert joins.crowded_keys(spark.createDataFrame([], "k int"), "k") == []
+
+
 def test_outer_assembly_and_flag(spark):
     a = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
     b = spark.createDataFrame([(2, 5), (3, 6)], "k int, y int")
