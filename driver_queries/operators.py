@@ -98,7 +98,7 @@ def prediction_sink(spark, folder):
 
 @query(
     """SELECT p_partkey, p_type, size FROM (SELECT *, CASE WHEN p_size = 50 THEN NULL ELSE p_size END AS size FROM part)
-    WHERE (size <> 10 OR size IS NULL) AND p_type IN ('ECONOMY', 'PROMO', 'SMALL') AND p_retailprice > 950
+    WHERE (size <> 10 OR size IS NULL) AND p_type IN ('ECONOMY', 'PROMO', 'SMALL') AND p_retailprice > 905
     AND NOT (coalesce(size = 7, false) AND p_type = 'SMALL')"""
 )
 def filter_keep_missing(spark, folder):
@@ -106,7 +106,7 @@ def filter_keep_missing(spark, folder):
     return (
         part.filter(X.differs("size", 10))
         .filter(X.one_of("p_type", ["ECONOMY", "PROMO", "SMALL"]))
-        .filter("p_retailprice > 950")
+        .filter("p_retailprice > 905")
         .filter("NOT (size <=> 7 AND p_type = 'SMALL')")
         .select("p_partkey", "p_type", "size")
     )
