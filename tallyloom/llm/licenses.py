@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import map_batches
 
 #: Share of a notice's distinct words that a block must hold.
-CONTAINMENT = 0.85
+CONTAINMENT = 0.9
 #: Phrases whose words must stand together, with their labels (fixed values).
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 #: Notices, as their licences word them.
