@@ -24,7 +24,7 @@ from tallyloom.llm.common import map_batches, written
 #: Pieces packed by one task; every task leaves one sequence at most that lack of pieces keeps open.
 PIECES_PER_TASK = 65_536
 #: Words whose ids a Python worker remembers; other words are encoded again in each batch.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 1_000_000
 #: Python splits text at these controls, the tokenizers do not.
 _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -66,10 +66,10 @@ def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
 
 def _piece_batch(batch: pa.RecordBatch, path: str, end_id: int, length: int) -> Iterator[dict]:
     end = np.array([end_id], "<u4").tobytes()
-    for first in range(0, batch.num_rows, 500):
+    for first in range(0, batch.num_rows, 1000):
         rows: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        texts = batch.column(1).slice(first, 500).to_pylist()
-        for doc_id, ids in zip(batch.column(0).slice(first, 500).to_pylist(), token_bytes(texts, path), strict=True):
+        texts = batch.column(1).slice(first, 1000).to_pylist()
+        for doc_id, ids in zip(batch.column(0).slice(first, 1000).to_pylist(), token_bytes(texts, path), strict=True):
             ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * length)):
                 cut = ids[at : at + 4 * length]
