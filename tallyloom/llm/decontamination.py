@@ -35,7 +35,8 @@ def seeds(table: DataFrame) -> DataFrame:
     for number, (mask, span) in enumerate(zip(MASKS, SPANS, strict=True)):
         picked = ", ".join(f"get(tokens, pos + {offset})" for offset in mask)
         parts.append(f"if(pos + {span} <= size(tokens), xxhash64({number}, {picked}), cast(null as bigint))")
-    placed = table.where(f"size(tokens) >= {min(SPANS)}").withColumn("pos", F.expr(f"explode(sequence(0, size(tokens) - {min(SPANS)}))"))
+    # the outer form keeps the optimizer from testing, and so computing, the tokens once more before
+    placed = table.withColumn("pos", F.expr(f"explode_outer(if(size(tokens) >= {min(SPANS)}, sequence(0, size(tokens) - {min(SPANS)}), null))"))
     return placed.select("*", F.expr(f"stack({len(MASKS)}, {', '.join(parts)}) as seed")).where("seed is not null")
 
 
@@ -54,24 +55,22 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
 
 def _verified(hits: DataFrame) -> DataFrame:
     """Of seed hits, those with a window that has few enough substitutions; windows stay inside both texts."""
-    hits = hits.selectExpr(
-        "doc_id", "item_id", "pos", "tokens", "around", "item_size",
-        f"least({LEFT}, item_pos) as before",
-        f"least({LEFT}, item_pos, pos) as left",
-        f"least({RIGHT}, item_size - item_pos, size(tokens) - pos) as right",
+    left, right = f"least({LEFT}, item_pos, pos)", f"least({RIGHT}, item_size - item_pos, size(tokens) - pos)"
+    hits = hits.where(f"{left} + {right} >= least({WINDOW}, item_size)").selectExpr(
+        "doc_id",
+        "item_id",
+        f"pos - {left} as base",
         f"least({WINDOW}, item_size) as width",
-    ).where("left + right >= width")
-    same = (
-        "zip_with(slice(tokens, pos - left + 1, left + right), slice(around, before - left + 1, left + right),"
-        " (x, y) -> cast(x = y as int)) as same"
+        f"slice(tokens, pos - {left} + 1, {left} + {right}) as mine",
+        f"slice(around, least({LEFT}, item_pos) - {left} + 1, {left} + {right}) as other",
     )
-    hits = hits.selectExpr("doc_id", "item_id", "pos", "left", "right", "width", same)
-    need = f"width - width * {SUBSTITUTIONS} div {WINDOW}"
-    counts = "transform(sequence(0, left + right - width), s -> aggregate(slice(same, s + 1, width), 0, (t, x) -> t + x)) as counts"
-    hits = hits.selectExpr("doc_id", "item_id", "pos - left as base", "width", f"{need} as need", counts)
-    hits = hits.where("array_max(counts) >= need")
-    passing = "filter(sequence(0, size(counts) - 1), s -> counts[cast(s as int)] >= need) as passing"
-    return hits.selectExpr("doc_id", "item_id", "base", "width", "array_max(counts) as matched", passing)
+    same = "zip_with(mine, other, (x, y) -> cast(x = y as int))"
+    hits = hits.selectExpr("doc_id", "item_id", "base", "width", f"width - width * {SUBSTITUTIONS} div {WINDOW} as need", f"{same} as same")
+    counted = "transform(sequence(0, size(same) - width), s -> aggregate(slice(same, s + 1, width), 0, (t, x) -> t + x))"
+    hits = hits.selectExpr("doc_id", "item_id", "base", "width", "need", f"{counted} as counts")
+    # unfolded, not filtered: a filter on the windows would be drawn into the join and run for every token
+    windows = hits.selectExpr("doc_id", "item_id", "base", "width", "need", "posexplode_outer(counts) as (start, matched)")
+    return windows.where("matched >= need").selectExpr("doc_id", "item_id", "matched", "base + start as first", "base + start + width - 1 as last")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -98,8 +97,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("doc_id", "item_id")
         .agg(
             F.max("matched").cast("long").alias("matched"),
-            F.min(F.expr("base + passing[0]")).cast("long").alias("first_token"),
-            F.max(F.expr("base + passing[size(passing) - 1] + width - 1")).cast("long").alias("last_token"),
+            F.min("first").cast("long").alias("first_token"),
+            F.max("last").cast("long").alias("last_token"),
         )
     )
 
