@@ -88,6 +88,24 @@ def add_columns(
     return source.mapInArrow(run, StructType([*kept.schema.fields, *fields]))
 
 
+#: Bits of the map in ``perhaps_among``, of 4 KB in each of its rows: 16 MB at most.
+MAP_BITS = 1 << 27
+
+
+def perhaps_among(table: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``table`` whose ``column`` may be in ``ids`` (one column of the same name): all that are, few others.
+
+    A bit map of hashes of the ids is broadcast; its size has a bound that does not depend on their number.
+    """
+    slot = f"pmod(xxhash64(`{column}`), {MAP_BITS}) + 1"
+    maps = ids.selectExpr(f"bitmap_bucket_number({slot}) as __bucket", f"bitmap_bit_position({slot}) as __bit")
+    maps = maps.groupBy("__bucket").agg(F.expr("bitmap_construct_agg(__bit)").alias("__map"))
+    placed = table.withColumn("__slot", F.expr(slot)).join(F.broadcast(maps), F.expr("bitmap_bucket_number(__slot) = __bucket"))
+    byte = "cast(conv(hex(substring(__map, bitmap_bit_position(__slot) div 8 + 1, 1)), 16, 10) as int)"
+    found = f"shiftright({byte}, cast(bitmap_bit_position(__slot) % 8 as int)) % 2 = 1"
+    return placed.where(found).select(*[F.col(f"`{c}`") for c in table.columns])
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit numbers (multiply and shift rounds)."""
     with np.errstate(over="ignore"):

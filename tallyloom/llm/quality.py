@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import add_columns, map_batches
+from tallyloom.llm.common import add_columns, map_batches, perhaps_among
 
 FEATURES = (
     "words", "chars_per_word", "lower", "upper", "digits", "punctuation", "symbols", "pipes", "exclamations",
@@ -73,22 +73,28 @@ class Discriminant:
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
 
 
+def _statistic_batch(batch: pa.RecordBatch) -> Iterator[dict]:
+    yield {"doc_id": batch.column(0), "row": [statistics(t) for t in batch.column(1).to_pylist()]}
+
+
 def _moment_batch(batch: pa.RecordBatch) -> Iterator[dict]:
     labels = batch.column(1).to_numpy(zero_copy_only=False)
-    rows = np.array([statistics(t) for t in batch.column(0).to_pylist()]).reshape(-1, len(FEATURES))
+    rows = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
     for label in np.unique(labels):
         x = rows[labels == label]
         values = np.concatenate(([len(x)], x.sum(axis=0), (x.T @ x).ravel()))
         yield {"label": [label] * len(values), "position": range(len(values)), "value": values}
 
 
-def fit(labelled: DataFrame) -> Discriminant:
-    """Learns from all rows of ``labelled`` (text, label 0 or 1); rows with another or no label are left out.
+def fit(docs: DataFrame, labels: DataFrame) -> Discriminant:
+    """Learns from all rows of ``docs`` (doc_id, text) with a row of ``labels`` (doc_id, label); a label is 0 or 1.
 
-    Tasks send sums of products, not rows, so any number of labels may be learned from. Where one class or both are
+    Statistics, not texts, are shuffled to meet the labels. Tasks send sums of products, not rows, so any number of labels may be learned from. Where one class or both are
     missing, the classes are taken as alike and every score is the share of class 1 (one half without any label).
     """
-    rows = labelled.select(F.col("text").cast("string"), F.col("label").cast("int")).where("label in (0, 1)")
+    labels = labels.select("doc_id", F.col("label").cast("int")).where("doc_id is not null and label in (0, 1)")
+    texts = perhaps_among(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", labels.select("doc_id"))
+    rows = map_batches(texts, _statistic_batch, "doc_id long, row array<double>").join(labels, "doc_id").select("row", "label")
     sums = map_batches(rows, _moment_batch, "label int, position int, value double")
     d = len(FEATURES)
     values = np.zeros((2, 1 + d + d * d))

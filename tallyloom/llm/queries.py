@@ -40,10 +40,10 @@ def with_held_out(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
     return docs.withColumn("held_out", F.expr(held_out_sql("doc_id", modulus, remainder)))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, column: str, modulus: int, remainder: int) -> DataFrame:
-    """text and label of the documents to learn from."""
-    train = docs.select("doc_id", "text").where(f"not {held_out_sql('doc_id', modulus, remainder)}")
-    return train.join(labels.select("doc_id", F.col(column).alias("label")).where("label is not null"), "doc_id")
+def learnable(labels: DataFrame, column: str, modulus: int, remainder: int) -> DataFrame:
+    """doc_id and label of the documents to learn from."""
+    known = labels.select("doc_id", F.col(column).alias("label")).where("label is not null")
+    return known.where(f"not {held_out_sql('doc_id', modulus, remainder)}")
 
 
 def judged(scores: DataFrame, modulus: int, remainder: int) -> DataFrame:
@@ -86,7 +86,7 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    model = toxicity.fit(labelled(docs, table(spark, folder, "labels"), "toxic", 4, 2))
+    model = toxicity.fit(docs, learnable(table(spark, folder, "labels"), "toxic", 4, 2))
     return judged(toxicity.scored(docs, model), 4, 2)
 
 
@@ -112,7 +112,7 @@ def op7_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    model = quality.fit(labelled(docs, table(spark, folder, "labels"), "quality", 5, 0))
+    model = quality.fit(docs, learnable(table(spark, folder, "labels"), "quality", 5, 0))
     return judged(quality.scored(docs, model), 5, 0)
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import map_batches
+from tallyloom.llm.common import map_batches, perhaps_among
 from tallyloom.llm.licenses import words_of
 
 #: Buckets of hashed terms, and length of a term's vector.
@@ -107,15 +107,20 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
 
 
 def _term_batch(batch: pa.RecordBatch) -> Iterator[dict]:
-    yield {"label": batch.column(1), "terms": [terms(t) for t in batch.column(0).to_pylist()]}
+    yield {"doc_id": batch.column(0), "terms": [terms(t) for t in batch.column(1).to_pylist()]}
 
 
-def fit(labelled: DataFrame) -> Machine:
-    """Learns from ``labelled`` (text, label 0 or 1); of more than ``SAMPLE`` rows, from a share chosen by a hash of the text."""
-    rows = labelled.select(F.col("text").cast("string"), F.col("label").cast("int")).where("label in (0, 1)")
-    share = min(1.0, SAMPLE / max(1, rows.count()))
-    chosen = rows.where(f"pmod(xxhash64(text), 1048576) < {share * 1048576}")
-    table = map_batches(chosen, _term_batch, "label int, terms array<int>").toArrow()  # bounded by SAMPLE
+def fit(docs: DataFrame, labels: DataFrame) -> Machine:
+    """Learns from the rows of ``docs`` (doc_id, text) with a row of ``labels`` (doc_id, label); a label is 0 or 1.
+
+    Of more than ``SAMPLE`` labels, a share chosen by a hash of the id is used. Terms, not texts, are shuffled.
+    """
+    labels = labels.select("doc_id", F.col("label").cast("int")).where("doc_id is not null and label in (0, 1)")
+    share = min(1.0, SAMPLE / max(1, labels.count()))
+    labels = labels.where(f"pmod(xxhash64(doc_id), 1048576) < {share * 1048576}")
+    texts = perhaps_among(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", labels.select("doc_id"))
+    chosen = map_batches(texts, _term_batch, "doc_id long, terms array<int>").join(labels, "doc_id")
+    table = chosen.select("label", "terms").toArrow()  # bounded by SAMPLE
     order = np.argsort([zlib.crc32(np.asarray(t, np.int32).tobytes()) for t in table.column(1).to_pylist()], kind="stable")
     lists = [np.asarray(t, np.int64) for t in table.column(1).to_pylist()]
     return train([lists[i] for i in order], np.asarray(table.column(0).to_pylist(), float)[order])
