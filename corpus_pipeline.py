@@ -10,7 +10,7 @@ from tallyloom.llm.common import held_out_sql, written
 from tallyloom.llm.decontamination import leaks
 from tallyloom.llm.near_duplicates import near_duplicates
 from tallyloom.llm.packing import pack_documents
-from tallyloom.llm.queries import labelled, table, tokenizer_path
+from tallyloom.llm.queries import learnable, table, tokenizer_path
 
 #: Documents below this quality score are rejected.
 QUALITY = 0.3
@@ -18,7 +18,7 @@ QUALITY = 0.3
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    model = quality.fit(labelled(docs, table(spark, sf_dir, "labels"), "quality", 5, 0))
+    model = quality.fit(docs, learnable(table(spark, sf_dir, "labels"), "quality", 5, 0))
     return quality.scored(docs, model, docs.columns).where(f"score >= {QUALITY}").select(*docs.columns)
 
 
