@@ -1,10 +1,10 @@
 """Near-duplicate documents by HyperMinHash sketches, exact on full shingle sets.
 
-A sketch has 40 functions of 4 buckets. A shingle's hash under a function picks the bucket by its top two bits; the
+A sketch has 60 functions of 4 buckets. A shingle's hash under a function picks the bucket by its top two bits; the
 bucket keeps the smallest hash, stored as the count of its leading zeros and ten bits after the first one (16 bits,
-0 for an empty bucket). A band joins the four registers of one function with a register of the next, so documents
-that share a fraction J of their shingles agree in a band with a chance of about J^5; at J = 0.8 a pair misses all
-40 bands with a chance of about 1e-7, and this is the method's only source of loss.
+0 for an empty bucket). A band joins the four registers of one function with three of the next, so documents that
+share a fraction J of their shingles agree in a band with a chance of about J^7; at J = 0.8 a pair misses all 60 bands
+with a chance of about 1e-6, and this is the method's only source of loss.
 """
 
 from __future__ import annotations
@@ -18,13 +18,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import map_batches, mixed, random_words, written
+from tallyloom.llm.common import map_batches, mixed, perhaps_among, random_words, written
 from tallyloom.llm.links import components
 
-FUNCTIONS, BUCKETS, MANTISSA = 40, 4, 10
+FUNCTIONS, BUCKETS, FOLLOWING, MANTISSA = 60, 4, 3, 10
 REGISTERS = FUNCTIONS * BUCKETS
-#: Pairs whose estimate is below the threshold by this much are not verified: six standard errors of 160 registers.
-SLACK = 0.2
+#: Pairs whose estimate is below the threshold by this much are not verified: almost six standard errors of 240 registers.
+SLACK = 0.15
+#: Documents of a group in which all open pairs are compared, and holders of a shingle up to which it is joined by itself.
+SMALL_GROUP, RARE = 64, 8
 #: Shingles hashed at once; bounds the memory of a task, whatever the lengths of texts.
 CHUNK = 400_000
 
@@ -86,12 +88,12 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
-    """A signed 64-bit key for each row and band; each function's buckets and one of the next function's."""
+    """A signed 64-bit key for each row and band; each function's buckets and some of the next function's."""
     grouped = registers.reshape(len(registers), FUNCTIONS, BUCKETS).astype(np.uint64)
-    following = np.roll(grouped[:, :, 0], -1, axis=1)
+    following = np.roll(grouped, -1, axis=1)
     with np.errstate(over="ignore"):
         key = np.tile(random_words(FUNCTIONS, 13), (len(registers), 1))
-        for part in (*(grouped[:, :, b] for b in range(BUCKETS)), following):
+        for part in (*(grouped[:, :, b] for b in range(BUCKETS)), *(following[:, :, b] for b in range(FOLLOWING))):
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + part)
     return key.view(np.int64)
 
@@ -151,6 +153,14 @@ def _set_batch(batch: pa.RecordBatch, width: int) -> Iterator[dict]:
         yield {"node": batch.column(0).slice(start, 500), "hashes": [shingle_hashes(t, width).view(np.int64) for t in texts]}
 
 
+def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """node and its full set of hashes, for the documents of ``nodes`` (node); other texts are not shuffled."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    wanted = perhaps_among(texts, "node", nodes).join(nodes.distinct(), "node").dropDuplicates(["node"])
+    sets = map_batches(wanted, partial(_set_batch, width=width), "node long, hashes array<long>")
+    return written(sets.where("size(hashes) > 0"))
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Of candidate pairs (a, b), those whose full sets meet the threshold; estimates come first."""
     side = classes.select("node", "n_shingles", "registers")
@@ -166,10 +176,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
         )
     )
     ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    wanted = texts.join(ends, "node", "left_semi").dropDuplicates(["node"])
-    sets = map_batches(wanted, partial(_set_batch, width=width), "node long, hashes array<long>")
-    sets = written(sets.where("size(hashes) > 0"))
+    sets = _sets(docs, ends, width)
     for end in ("a", "b"):
         likely = likely.join(sets.toDF(end, f"set_{end}"), end)
     return written(
@@ -185,6 +192,47 @@ def _hub(key: str, doc: str) -> Column:
     return F.min(F.expr(f"{doc} ^ {key}"))
 
 
+def _left_apart(crowded: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket in different components that may still be linked.
+
+    A bucket's members outside its largest component meet all others of the bucket. The buckets with one largest component
+    form a group. In a group of many documents a link needs common shingles, and those with few holders in the group are
+    joined by themselves: other pairs can share no more than what remains of the smaller one, its core.
+    """
+    placed = crowded.join(labels.withColumnRenamed("node", "doc"), "doc", "left").selectExpr("key", "doc", "hub", "coalesce(label, doc) as label")
+    open_keys = placed.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
+    open_keys = open_keys.agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    apart = placed.join(open_keys.select("key", "main"), "key").join(classes.selectExpr("node as doc", "n_shingles as n"), "doc")
+    apart = written(apart)
+    members = written(apart.select("main", "doc", "label", "n").distinct())
+    sizes = members.groupBy("main").agg(F.count("*").alias("size"))
+    large = written(members.join(sizes.where(f"size > {SMALL_GROUP}").select("main"), "main"))
+
+    flat = large.select("main", "doc").join(_sets(docs, large.select(F.col("doc").alias("node")).distinct(), width).withColumnRenamed("node", "doc"), "doc")
+    flat = written(flat.selectExpr("main", "doc", "explode(hashes) as hash"))
+    rare = flat.groupBy("main", "hash").agg(F.count("*").alias("holders")).where(f"holders <= {RARE}")
+    rare = written(flat.join(rare, ["main", "hash"]))
+    core = rare.groupBy("main", "doc").agg(F.count("*").alias("few"))
+    core = written(large.join(core, ["main", "doc"], "left").selectExpr("main", "doc", "label", "n", "n - coalesce(few, 0) as core"))
+
+    needed = f"{100 + percent} * {{}} >= {percent} * (n + x_n)"
+    ends = ("least(x, doc) as a", "greatest(x, doc) as b")
+    # places in buckets; in groups of few documents all of the shorter one counts as core
+    known = apart.join(core.select("main", "doc", "core"), ["main", "doc"], "left").selectExpr("key", "doc", "hub", "label", "main", "n", "coalesce(core, n) as core")
+    known = known.join(apart.groupBy("key").agg(F.min("n").alias("least_n")), "key").where(f"{100 + percent} * core >= {percent} * (n + least_n)")
+    known = written(known.drop("least_n"))
+    minor = known.where("label <> main").selectExpr("key", "doc as x", "label as x_label", "n as x_n", "core as x_core")
+    inside = minor.join(known, "key").where(
+        "label <> x_label and (label = main or x < doc) and x <> hub and doc <> hub and " + needed.format("least(core, x_core)")
+    )
+    holders = rare.where("hash is not null").join(core, ["main", "doc"])
+    other = holders.selectExpr("main", "hash", "doc as x", "label as x_label", "n as x_n", "core as x_core")
+    sharing = holders.join(other, ["main", "hash"]).where("x < doc and label <> x_label")
+    sharing = sharing.groupBy("main", "x", "doc", "n", "x_n", "core", "x_core").agg(F.count("*").alias("both"))
+    sharing = sharing.where(needed.format("(least(core, x_core) + both)"))
+    return inside.selectExpr(*ends).union(sharing.selectExpr(*ends)).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -193,7 +241,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Equal sets form a class first, and only its smallest document goes on. Each bucket of a band compares its members
     with one hub, another one in each band, so a group of m near copies costs some m links and not m * m. Pairs of one
-    bucket that are then still in different components are compared one by one, so no link is lost.
+    bucket that are then still in different components are compared one by one, but for those whose numbers of common shingles
+    cannot suffice; so no link is lost.
 
     Null and empty texts have no shingles and are components of their own; a null doc_id takes no part and has a null
     component. Repeated rows each return a row. ``doc_id`` should name one text; rows that repeat it with another text
@@ -211,14 +260,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = _verified(star, classes, docs, width, percent)
     labels = written(components(links))
 
-    # what the hubs left apart: members of a bucket outside its largest component, against all others of the bucket
-    placed = crowded.join(labels.withColumnRenamed("node", "doc"), "doc", "left").selectExpr("key", "doc", "hub", "coalesce(label, doc) as label")
-    open_keys = placed.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
-    open_keys = open_keys.agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    apart = written(placed.join(open_keys.select("key", "main"), "key"))
-    minor = apart.where("label <> main").selectExpr("key", "doc as x", "label as x_label")
-    rest = minor.join(apart, "key").where("label <> x_label and (label = main or x < doc) and x <> hub and doc <> hub")
-    rest = rest.selectExpr("least(x, doc) as a", "greatest(x, doc) as b").distinct()
+    rest = _left_apart(crowded, labels, classes, docs, width, percent)
     more = _verified(rest, classes, docs, width, percent)
     if not more.isEmpty():
         labels = written(components(links.union(more)))
