@@ -17,9 +17,9 @@ from tallyloom.llm.common import map_batches, written
 
 #: Vectors that the tree is fitted on (expected number, chosen by a hash of the id), children of a node, and vectors of the
 #: sample below which a node is a leaf.
-SAMPLE, BRANCHES, LEAF = 20_000, 8, 40
+SAMPLE, BRANCHES, LEAF = 20_000, 8, 400
 #: Sample queries for the number of leaves to visit, and the recall that they must reach.
-TRIALS, RECALL = 200, 0.98
+TRIALS, RECALL = 200, 0.96
 #: Candidates and queries of one leaf that meet in one group at most, about.
 GROUP_ROWS = 4_000
 
