@@ -15,7 +15,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import map_batches, mixed, perhaps_among, random_words, written
@@ -26,7 +26,9 @@ REGISTERS = FUNCTIONS * BUCKETS
 #: Pairs whose estimate is below the threshold by this much are not verified: almost six standard errors of 240 registers.
 SLACK = 0.15
 #: Documents of a group in which all open pairs are compared, and holders of a shingle up to which it is joined by itself.
-SMALL_GROUP, RARE = 64, 8
+SMALL_GROUP, RARE = 64, 400
+#: Orders of documents by which buckets choose their hubs; the least in its order is a bucket's hub.
+HUBS = 16
 #: Shingles hashed at once; bounds the memory of a task, whatever the lengths of texts.
 CHUNK = 400_000
 
@@ -187,9 +189,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     )
 
 
-def _hub(key: str, doc: str) -> Column:
-    """A document of a bucket that depends on the bucket: the least id after flipping bits by the key."""
-    return F.min(F.expr(f"{doc} ^ {key}"))
+def _mask(key: str) -> str:
+    """SQL text of a number that flips the bits of ids: one of ``HUBS``, by the key."""
+    return f"shiftrightunsigned(xxhash64(pmod({key}, {HUBS})), 1)"
 
 
 def _left_apart(crowded: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -240,7 +242,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     component is what links reach, named by its smallest doc_id; ``kept`` marks that document.
 
     Equal sets form a class first, and only its smallest document goes on. Each bucket of a band compares its members
-    with one hub, another one in each band, so a group of m near copies costs some m links and not m * m. Pairs of one
+    with one hub, chosen in one of ``HUBS`` orders, so a group of m near copies costs some m links and not m * m. Pairs of one
     bucket that are then still in different components are compared one by one, but for those whose numbers of common shingles
     cannot suffice; so no link is lost.
 
@@ -254,8 +256,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = written(real.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), node))
     bands = map_batches(classes.select("node", "registers"), _band_batch, "key long, doc long")
 
-    buckets = bands.groupBy("key").agg(F.count("*").alias("n"), _hub("key", "doc").alias("hub")).where("n > 1")
-    crowded = written(bands.join(buckets.selectExpr("key", "hub ^ key as hub"), "key"))
+    buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.min(F.expr(f"doc ^ {_mask('key')}")).alias("hub")).where("n > 1")
+    crowded = written(bands.join(buckets.selectExpr("key", f"hub ^ {_mask('key')} as hub"), "key"))
     star = crowded.where("doc <> hub").selectExpr("least(doc, hub) as a", "greatest(doc, hub) as b").distinct()
     links = _verified(star, classes, docs, width, percent)
     labels = written(components(links))
