@@ -23,7 +23,7 @@ from tallyloom.llm.common import map_batches, written
 
 #: Pieces packed by one task; every task leaves one sequence at most that lack of pieces keeps open.
 PIECES_PER_TASK = 65_536
-#: Words whose ids a Python worker remembers; other words are encoded again in each batch.
+#: Words whose ids a Python worker remembers, at some 200 bytes each; other words are encoded again in each batch.
 REMEMBERED_WORDS = 1_000_000
 #: Python splits text at these controls, the tokenizers do not.
 _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -42,7 +42,7 @@ def _ids(encodings) -> list[bytes]:
     return [np.array(e.ids, "<u4").tobytes() for e in encodings]
 
 
-def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
+def token_bytes(texts: list[str | None], path: str, remembered: int = REMEMBERED_WORDS) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers (null: no ids).
 
     The tokenizer of ``path`` must drop white space and never join what it separates, so equal words have equal ids
@@ -53,7 +53,7 @@ def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     words = [t.split() if t and i not in whole else [] for i, t in enumerate(texts)]
     new = list(set(chain.from_iterable(words)).difference(known))
     fresh = dict(zip(new, _ids(tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-    if len(known) < REMEMBERED_WORDS:
+    if len(known) < remembered:
         known.update(fresh)
         look = known.__getitem__
     else:
@@ -64,12 +64,12 @@ def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     return out
 
 
-def _piece_batch(batch: pa.RecordBatch, path: str, end_id: int, length: int) -> Iterator[dict]:
+def _piece_batch(batch: pa.RecordBatch, path: str, end_id: int, length: int, remembered: int) -> Iterator[dict]:
     end = np.array([end_id], "<u4").tobytes()
     for first in range(0, batch.num_rows, 1000):
         rows: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
         texts = batch.column(1).slice(first, 1000).to_pylist()
-        for doc_id, ids in zip(batch.column(0).slice(first, 1000).to_pylist(), token_bytes(texts, path), strict=True):
+        for doc_id, ids in zip(batch.column(0).slice(first, 1000).to_pylist(), token_bytes(texts, path, remembered), strict=True):
             ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * length)):
                 cut = ids[at : at + 4 * length]
@@ -78,11 +78,13 @@ def _piece_batch(batch: pa.RecordBatch, path: str, end_id: int, length: int) ->
         yield rows
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096, remembered: int = REMEMBERED_WORDS
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids with ``end_id`` after them, cut only if longer."""
     return map_batches(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-        partial(_piece_batch, path=tokenizer_path, end_id=end_id, length=length),
+        partial(_piece_batch, path=tokenizer_path, end_id=end_id, length=length, remembered=remembered),
         "doc_id long, piece int, start long, length long, ids_crc32 long",
     )
 
@@ -166,10 +168,12 @@ def packed(table: DataFrame, capacity: int = 4096) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096, remembered: int = REMEMBERED_WORDS
+) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text) and their places in sequences of at most ``length`` tokens.
 
     A null or empty text is one piece that holds ``end_id`` alone; repeated rows and null ids are packed like others;
     other columns are ignored; no rows give no rows.
     """
-    return packed(written(pieces(docs, tokenizer_path, end_id, length)), length)
+    return packed(written(pieces(docs, tokenizer_path, end_id, length, remembered)), length)
