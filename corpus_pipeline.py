@@ -14,6 +14,8 @@ from tallyloom.llm.queries import learnable, table, tokenizer_path
 
 #: Documents below this quality score are rejected.
 QUALITY = 0.3
+#: Words that the tokenizing workers remember; fewer than packing alone may, as workers keep what earlier stages loaded.
+REMEMBERED = 200_000
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of at most 4096 tokens."""
-    return pack_documents(docs, tokenizer_path(), end_id=1, length=4096)
+    return pack_documents(docs, tokenizer_path(), end_id=1, length=4096, remembered=REMEMBERED)
 
 
 STAGES = [
