@@ -24,6 +24,8 @@ LEAST_DOCS = 5
 #: A term whose share of toxic documents lies z standard errors off moves in steps of z^2 / (z^2 + EVIDENCE^2).
 EVIDENCE = 20
 EPOCHS, ROWS_AT_ONCE, STEP, DECAY = 12, 128, 0.05, 1e-3
+#: A small sample is gone over more often, for so many steps at least.
+LEAST_STEPS = 1500
 
 
 def terms(text: str | None) -> np.ndarray:
@@ -75,7 +77,8 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     theta[-1] = 0
     theta[-1, 0] = bias
     first, second, step = np.zeros_like(theta), np.zeros_like(theta), 0
-    for _ in range(EPOCHS if 0 < labels.sum() < len(labels) else 0):
+    passes = max(EPOCHS, -(-LEAST_STEPS // max(1, -(-len(rows) // ROWS_AT_ONCE))))
+    for _ in range(passes if 0 < labels.sum() < len(labels) else 0):
         order = random.permutation(len(rows))
         for start in range(0, len(order), ROWS_AT_ONCE):
             chosen = order[start : start + ROWS_AT_ONCE]
