@@ -196,8 +196,9 @@ def test_neighbours_reach_recall_and_survive_odd_vectors(spark):
 
 
 def test_language_by_compression(spark, odd, none):
-    other = [w[::-1] + "ö" for w in WORDS]
-    rows = [(i, " ".join(RANDOM.choices(other if i % 2 else WORDS, k=50)), "xx" if i % 2 else "yy") for i in range(120)]
+    words = [a + b for a, b in zip(WORDS, WORDS[1:], strict=False)]  # long enough for a compressor's shortest match
+    other = [w[::-1] + "ö" for w in words]
+    rows = [(i, " ".join(RANDOM.choices(other if i % 2 else words, k=50)), "xx" if i % 2 else "yy") for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = language.fit(docs.where("doc_id < 80"))
     got = {r.doc_id: r for r in language.identified(docs, model).collect()}
