@@ -100,7 +100,8 @@ def label_encode_binary(
     """Replace string columns of at most two distinct values by their alphabetical index.
 
     The codes come from ``train``; a value in another table that ``train`` lacks
-    raises. A missing value counts as a distinct one (and sorts last).
+    raises, and so does a missing one if ``train`` has none. In ``train`` a missing
+    value counts as a distinct one (and sorts last).
     """
     candidates = string_columns(train)
     if not candidates:
@@ -123,11 +124,13 @@ def label_encode_binary(
           for i, (c, v) in enumerate(narrow.items())]
     ).first()
     chosen = {c: v for i, (c, v) in enumerate(narrow.items()) if between[f"n_{i}"] == 0}
+    with_missing = {c for i, c in enumerate(candidates) if ends[f"no_{i}"] > 0}
 
     def encode(df: DataFrame) -> DataFrame:
         codes = {}
         for c, values in chosen.items():
-            chain = F.when(quoted(c).isNull(), F.lit(len(values)))
+            missing = F.lit(len(values)) if c in with_missing else F.raise_error(F.lit(f"missing label in {c}")).cast("int")
+            chain = F.when(quoted(c).isNull(), missing)
             for code, value in enumerate(values):
                 chain = chain.when(quoted(c) == value, F.lit(code))
             codes[c] = chain.otherwise(

@@ -96,6 +96,11 @@ def main() -> None:
     parser.add_argument("--ablation", action="store_true")
     parser.add_argument("--first-version", action="store_true")
     args = parser.parse_args()
+    chosen_families = args.families != ",".join(assembly.FAMILIES)
+    if args.first_version and (args.rows is not None or chosen_families or args.ablation):
+        parser.error("--first-version uses whole tables and families of its own: no --rows, --families or --ablation")
+    if args.ablation and chosen_families:
+        parser.error("--ablation chooses the families itself: no --families")
     spark = SparkSession.builder.appName("tallyloom").getOrCreate()
     settings = BoostSettings(rounds=args.rounds)
     if args.first_version:
