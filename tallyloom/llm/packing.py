@@ -25,6 +25,8 @@ from tallyloom.llm.common import map_batches, written
 PIECES_PER_TASK = 65_536
 #: Words whose ids a Python worker remembers, at some 200 bytes each; other words are encoded again in each batch.
 REMEMBERED_WORDS = 1_000_000
+#: Words encoded at once; a word's encoding takes far more memory than its ids.
+WORDS_AT_ONCE = 4_096
 #: Python splits text at these controls, the tokenizers do not.
 _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -52,7 +54,10 @@ def token_bytes(texts: list[str | None], path: str, remembered: int = REMEMBERED
     whole = {i: t for i, t in enumerate(texts) if t and any(c in t for c in _ODD_SPACES)}
     words = [t.split() if t and i not in whole else [] for i, t in enumerate(texts)]
     new = list(set(chain.from_iterable(words)).difference(known))
-    fresh = dict(zip(new, _ids(tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+    fresh: dict[str, bytes] = {}
+    for start in range(0, len(new), WORDS_AT_ONCE):
+        part = new[start : start + WORDS_AT_ONCE]
+        fresh.update(zip(part, _ids(tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
     if len(known) < remembered:
         known.update(fresh)
         look = known.__getitem__
@@ -66,10 +71,10 @@ def token_bytes(texts: list[str | None], path: str, remembered: int = REMEMBERED
 
 def _piece_batch(batch: pa.RecordBatch, path: str, end_id: int, length: int, remembered: int) -> Iterator[dict]:
     end = np.array([end_id], "<u4").tobytes()
-    for first in range(0, batch.num_rows, 1000):
+    for first in range(0, batch.num_rows, 500):
         rows: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        texts = batch.column(1).slice(first, 1000).to_pylist()
-        for doc_id, ids in zip(batch.column(0).slice(first, 1000).to_pylist(), token_bytes(texts, path, remembered), strict=True):
+        texts = batch.column(1).slice(first, 500).to_pylist()
+        for doc_id, ids in zip(batch.column(0).slice(first, 500).to_pylist(), token_bytes(texts, path, remembered), strict=True):
             ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * length)):
                 cut = ids[at : at + 4 * length]
