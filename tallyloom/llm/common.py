@@ -34,6 +34,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that become Python objects at once.
+ROWS_AT_ONCE = 1_000
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
     """Applies ``function`` to each Arrow batch; it yields dicts of columns, which become batches of ``schema``."""
     names = [part.split()[0] for part in schema.split(", ")]
@@ -41,7 +51,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dic
     out = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             for columns in function(batch):
                 arrays = [pa.array(columns[name], type=kind) for name, kind in zip(names, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out)
@@ -78,7 +88,7 @@ def add_columns(
     width = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             for columns in function(batch, text=width):
                 made = [pa.array(columns[name], type=kind) for name, kind in zip(names, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=[*batch.schema.names[:width], *names])
