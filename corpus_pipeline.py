@@ -15,7 +15,7 @@ from tallyloom.llm.queries import learnable, table, tokenizer_path
 #: Documents below this quality score are rejected.
 QUALITY = 0.3
 #: Words that the tokenizing workers remember; fewer than packing alone may, as workers keep what earlier stages loaded.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
