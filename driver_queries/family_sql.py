@@ -37,12 +37,12 @@ def score(rows, column: str) -> str:
 def _agg(function: str, column: str, where: str | None) -> str:
     keep = f" FILTER (WHERE {where})" if where else ""
     if function == "mean":
-        return f"avg(CAST({column} AS DOUBLE)){keep}"
+        return f"nullif(avg(CAST({column} AS DOUBLE)){keep}, CAST('nan' AS DOUBLE))"
     if function == "sum":
         summed = f"coalesce(sum(CAST({column} AS DOUBLE)){keep}, 0e0)"
         return f"CASE WHEN count(*){keep} > 0 THEN {summed} END"
     if function == "var":
-        return f"var_samp({column}){keep}"
+        return f"nullif(var_samp({column}){keep}, CAST('nan' AS DOUBLE))"
     if function == "nunique":
         return f"count(DISTINCT {column}){keep}"
     return f"{function}({column}){keep}"

@@ -566,9 +566,15 @@ def align_union(spark, folder):
     return schema.append_unlabelled(with_label, right)
 
 
-@query()
+@query(
+    """SELECT o_orderkey FROM (SELECT o_orderkey, y * y % 2147483647 AS x
+    FROM (SELECT o_orderkey, (x * 48271 + 14) % 2147483647 AS y
+    FROM (SELECT o_orderkey, y * y % 2147483647 AS x
+    FROM (SELECT o_orderkey, (o_orderkey % 2147483647 * 48271 + 7) % 2147483647 AS y FROM orders))))
+    ORDER BY x, o_orderkey LIMIT 1000"""
+)
 def random_sample(spark, folder):
-    return schema.random_rows(read(spark, folder, "orders").select("o_orderkey"), 1000, seed=7)
+    return schema.random_rows(read(spark, folder, "orders").select("o_orderkey"), 1000, seed=7, key="o_orderkey")
 
 
 # --- scores -------------------------------------------------------------------

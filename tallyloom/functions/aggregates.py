@@ -18,7 +18,7 @@ def total(x: str) -> str:
 
 
 def mean(x: str) -> str:
-    return f"try_divide(sum(double({x})), double(count({x})))"
+    return nan_to_null(f"try_divide(sum(double({x})), double(count({x})))")
 
 
 def share(hit: str) -> str:
@@ -64,7 +64,7 @@ AGGREGATES: dict[str, Callable[[str], str]] = {
     "mean": mean,
     "min": lambda x: f"min({x})",
     "max": lambda x: f"max({x})",
-    "var": lambda x: f"var_samp(double({x}))",
+    "var": lambda x: nan_to_null(f"var_samp(double({x}))"),
 }
 
 # these give a number even for a group without rows, so a subset has to null them

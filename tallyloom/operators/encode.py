@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import quoted
 from tallyloom.functions.scalars import called, literal
 from tallyloom.functions.scalars import name as col_name
-from tallyloom.operators.joins import SMALL_TABLE_ROWS, _N, attach
+from tallyloom.operators.joins import _N, attach
 from tallyloom.operators.ordered import with_prefix_sum
 from tallyloom.operators.schema import string_columns
 from tallyloom.operators.staging import stage
@@ -20,17 +20,20 @@ from tallyloom.operators.staging import stage
 MAX_CATEGORIES = 5_000
 
 
-def discover_vocabulary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values per column, in one job; meant to be run once and pinned."""
+def discover_vocabulary(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """Sorted distinct values per column, from one scan; meant to be run once and pinned.
+
+    A column of more than ``limit`` values is refused.
+    """
     columns = list(columns)
     if not columns:
         return {}
     cells = ", ".join(f"struct({literal(c)} AS c, {col_name(c)} AS v)" for c in columns)
-    values = df.selectExpr(f"inline(array({cells}))").filter("v IS NOT NULL").distinct()
-    limit = MAX_CATEGORIES * len(columns)
-    found = values.limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories in {columns}; declare a vocabulary")
+    values = stage(df.selectExpr(f"inline(array({cells}))").filter("v IS NOT NULL").distinct())
+    wide = [r.c for r in values.groupBy("c").count().filter(F.col("count") > limit).collect()]
+    if wide:
+        raise ValueError(f"more than {limit} categories in {sorted(wide)}; declare a vocabulary")
+    found = values.collect()
     return {c: sorted(r.v for r in found if r.c == c) for c in columns}
 
 
@@ -38,6 +41,7 @@ def one_hot(
     df: DataFrame,
     nan_as_category: bool = True,
     vocabulary: Mapping[str, Sequence[str]] | None = None,
+    limit: int = MAX_CATEGORIES,
 ) -> tuple[DataFrame, list[str]]:
     """Replace every string column by ``COLUMN_value`` indicators.
 
@@ -46,7 +50,7 @@ def one_hot(
     """
     encoded = string_columns(df)
     vocabulary = dict(vocabulary or {})
-    vocabulary.update(discover_vocabulary(df, [c for c in encoded if c not in vocabulary]))
+    vocabulary.update(discover_vocabulary(df, [c for c in encoded if c not in vocabulary], limit))
     new: dict[str, str] = {}
     for column in encoded:
         for value in vocabulary[column]:
@@ -57,9 +61,7 @@ def one_hot(
     return df.selectExpr(*kept, *[called(text, n) for n, text in new.items()]), list(new)
 
 
-def factorize(
-    df: DataFrame, columns: Sequence[str], order: str, small_rows: int = SMALL_TABLE_ROWS
-) -> DataFrame:
+def factorize(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
     """Replace columns by codes 0, 1, ... in order of first appearance; missing is -1.
 
     ``order`` is a unique number per row. One pass finds the first appearance of every
@@ -74,17 +76,11 @@ def factorize(
         .groupBy("c", "v")
         .agg(F.count(F.lit(1)).alias(_N), F.min("o").alias("o"))
     )
-    if first.limit(small_rows + 1).count() <= small_rows:
-        place = F.row_number().over(Window.partitionBy("c").orderBy("o")) - 1
-        codes = first.withColumn("code", place)
-    else:
-        ranked = with_prefix_sum(first.withColumn("one", F.lit(1)), "o", "one", "code", ["c"])
-        codes = stage(ranked.drop("one"))
+    ranked = with_prefix_sum(first.withColumn("one", F.lit(1)), "o", "one", "code", ["c"])
+    codes = stage(ranked.drop("one"))
     for column in columns:
         own = codes.filter(F.col("c") == column).selectExpr("v AS __v", _N, "int(code) AS __code")
-        coded = attach(
-            df.withColumn("__v", quoted(column).cast("string")), own, ["__v"], small_rows=small_rows
-        )
+        coded = attach(df.withColumn("__v", quoted(column).cast("string")), own, ["__v"])
         df = coded.selectExpr(
             *[
                 called("coalesce(__code, -1)", c) if c == column else col_name(c)

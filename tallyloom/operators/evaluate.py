@@ -20,24 +20,18 @@ from tallyloom.functions.columns import quoted
 from tallyloom.functions.scalars import ratio
 from tallyloom.functions.scalars import name as col_name
 from tallyloom.operators.ordered import with_prefix_sum
-from tallyloom.operators.schema import feature_columns, split_by_label
+from tallyloom.operators.schema import feature_columns, scrambled, split_by_label
 from tallyloom.operators.staging import stage
 from tallyloom.plans.names import ID_AND_LABEL
 
-# modulus and multiplier of the minimal standard generator
-_MODULUS, _MULTIPLIER = 2147483647, 48271
 # stands for a missing feature value: trees can split it off below every real value
 MISSING_FEATURE = -1e15
 LARGE_FEATURE = 1e15
 
 
 def fold_of(key: Column, folds: int, seed: int) -> Column:
-    """Fold 0..folds-1 of an integer key; two rounds of a multiplicative hash."""
-    x = F.pmod(key.cast("long"), F.lit(_MODULUS))
-    for step in (1, 2):
-        x = F.pmod(x * F.lit(_MULTIPLIER) + F.lit(seed * step), F.lit(_MODULUS))
-        x = F.pmod(x * x, F.lit(_MODULUS))
-    return F.pmod(x, F.lit(folds)).cast("int")
+    """Fold 0..folds-1 of an integer key."""
+    return F.pmod(scrambled(key, seed), F.lit(folds)).cast("int")
 
 
 def assign_folds(df: DataFrame, key: str, folds: int = 5, seed: int = 1001, name: str = "fold") -> DataFrame:
@@ -77,7 +71,7 @@ def feature_vector(columns: Sequence[str]) -> Column:
     for c in columns:
         bounded = f"greatest(least(double({col_name(c)}), {LARGE_FEATURE!r}D), {-LARGE_FEATURE / 10!r}D)"
         # greatest and least skip missing arguments, so missing is settled first
-        cells.append(f"IF({col_name(c)} IS NULL, {MISSING_FEATURE!r}D, {bounded})")
+        cells.append(f"IF({col_name(c)} IS NULL OR isnan({col_name(c)}), {MISSING_FEATURE!r}D, {bounded})")
     return array_to_vector(F.expr(f"array({', '.join(cells)})"))
 
 

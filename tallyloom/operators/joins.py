@@ -1,9 +1,10 @@
 """Joins back onto detail rows, left and outer assembly, existence flags.
 
-A key may own a large part of the detail. Joining per-key results back by a
-plain shuffle would send all its rows to one task, so ``attach`` looks at the row
-counts first: the few keys above a share of all rows are joined map-side, and
-only rows of ordinary keys are shuffled.
+A key may own a large part of the detail. A plain shuffle would send all its rows
+to one task, so every join back onto detail looks at the row counts first: rows of
+the few keys above a share of all rows, and rows without a key, are dealt among
+several tasks, and a hot key's row of the table is copied to each of them. The plan
+is the same at all sizes; whether a table is broadcast is left to Spark.
 """
 
 from __future__ import annotations
@@ -14,18 +15,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.columns import quoted
 from tallyloom.functions.scalars import name
-from tallyloom.operators.aggregate import group_by_present, keyed, size_expr
+from tallyloom.operators.aggregate import group_by_present, size_expr
 from tallyloom.operators.staging import stage
 
 # A key is hot above 1/HOT_PARTS of all rows: at most HOT_PARTS keys can be, which
 # bounds what is broadcast whatever the size of the data.
 HOT_PARTS = 20_000
-# A per-key table of at most this many rows is broadcast as a whole.
-SMALL_TABLE_ROWS = 100_000
-# A lookup treats at most this many keys as crowded.
-LOOKUP_HOT_KEYS = 500
-_N = "__rows"
+_N, _COPIES, _PART = "__rows", "__copies", "__part"
 
 
 def per_key(detail: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
@@ -33,44 +31,44 @@ def per_key(detail: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]
     return stage(group_by_present(detail, *keys).agg(size_expr(_N), *aggregates))
 
 
+def _hot(counts: DataFrame, keys: Sequence[str], hot_parts: int) -> DataFrame:
+    """Keys above 1/hot_parts of all rows and among how many tasks each is dealt; their sum is at most hot_parts."""
+    everything = counts.agg(F.sum(_N)).scalar()
+    share = F.col(_N) * F.lit(hot_parts)
+    copies = F.floor(share / everything).cast("int").alias(_COPIES)
+    return counts.filter(share > everything).select(*[quoted(k) for k in keys], copies)
+
+
+def _dealt_join(
+    detail: DataFrame, table: DataFrame, hot: DataFrame, keys: Sequence[str], how: str, hot_parts: int
+) -> DataFrame:
+    """Join on keys of which ``hot`` are dealt; a row's task depends on its content alone, so a repeated task agrees."""
+    keys = list(keys)
+    hot = F.broadcast(hot)  # at most hot_parts rows
+    missing = " OR ".join(f"{name(k)} IS NULL" for k in keys)
+    parts = f"IF({missing}, {hot_parts}, coalesce({_COPIES}, 1))"
+    place = f"pmod(xxhash64({', '.join(name(c) for c in detail.columns)}), {parts})"
+    dealt = detail.join(hot, keys, "left").withColumn(_PART, F.expr(f"int({place})")).drop(_COPIES)
+    copied = table.join(hot, keys, "left")
+    copied = copied.withColumn(_PART, F.expr(f"explode(sequence(0, coalesce({_COPIES}, 1) - 1))")).drop(_COPIES)
+    return dealt.join(copied, [*keys, _PART], how).drop(_PART)
+
+
 def attach(
     detail: DataFrame,
     table: DataFrame,
     keys: Sequence[str],
     semi: bool = False,
-    small_rows: int = SMALL_TABLE_ROWS,
     hot_parts: int = HOT_PARTS,
     wanted: Column | None = None,
 ) -> DataFrame:
     """Left join (or left-semi filter) of detail rows with a ``per_key`` table.
 
-    ``wanted`` restricts which keys of the table match; it is applied after the
-    hot keys have been picked so that unwanted hot keys do not reach the shuffle.
+    ``wanted`` restricts which keys of the table match. Detail is read once.
     """
-    keys = list(keys)
-    payload = [c for c in table.columns if c not in keys and c != _N]
-    how = "left_semi" if semi else "left"
-
-    def matching(t: DataFrame) -> DataFrame:
-        return t.filter(wanted) if wanted is not None else t
-
-    if table.limit(small_rows + 1).count() <= small_rows:
-        return detail.join(F.broadcast(matching(table).drop(_N)), keys, how)
-
-    everything = table.agg(F.sum(_N)).scalar()
-    hot = table.filter(F.col(_N) * F.lit(hot_parts) > everything)
-    hot_ids = F.broadcast(hot.select(*keys))
-    known = keyed(detail, *keys)
-    ordinary = known.join(hot_ids, keys, "left_anti").join(matching(table).drop(_N), keys, how)
-    if semi:
-        return known.join(F.broadcast(matching(hot).select(*keys)), keys, "left_semi").unionByName(ordinary)
-    crowded = known.join(hot_ids, keys, "left_semi").join(
-        F.broadcast(matching(hot).drop(_N)), keys, "left"
-    )
-    keyless = detail.filter(" OR ".join(f"{name(k)} IS NULL" for k in keys))
-    types = {f.name: f.dataType for f in table.schema.fields}
-    keyless = keyless.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in payload])
-    return crowded.unionByName(ordinary).unionByName(keyless)
+    matching = table.filter(wanted) if wanted is not None else table
+    hot = _hot(table, keys, hot_parts)
+    return _dealt_join(detail, matching.drop(_N), hot, keys, "left_semi" if semi else "left", hot_parts)
 
 
 def merge_back(
@@ -88,44 +86,14 @@ def keep_groups(
     return attach(detail, table, keys, semi=True, wanted=F.col("__keep"), **attach_options)
 
 
-def crowded_keys(detail: DataFrame, key: str, limit: int = LOOKUP_HOT_KEYS) -> list:
-    """Keys that own more than 1/limit of the rows, found by a frequent-items sketch.
-
-    One scan of the key column and one small result. The sketch may overstate counts
-    a little; that moves a key to the broadcast side and never changes a result.
-    """
-    found = keyed(detail, key).agg(
-        F.expr(f"approx_top_k({name(key)}, {limit}, {limit * 10})").alias("top"), size_expr("n")
-    )
-    row = found.selectExpr(f"transform(filter(top, t -> t.count * {limit} > n), t -> t.item) AS keys").first()
-    return list(row["keys"] or [])
-
-
 def lookup(
-    detail: DataFrame, table: DataFrame, key: str, how: str = "inner", small_rows: int = SMALL_TABLE_ROWS
+    detail: DataFrame, table: DataFrame, key: str, how: str = "inner", hot_parts: int = HOT_PARTS
 ) -> DataFrame:
     """Many-to-one join of detail rows with a table that is unique on the key.
 
-    A small table is broadcast. Otherwise rows of crowded keys get their at most
-    ``LOOKUP_HOT_KEYS`` table rows by broadcast, the others by shuffle; without crowded
-    keys it is an ordinary join.
+    Detail is read twice: its key column is counted, then all of it is joined.
     """
-    if table.limit(small_rows + 1).count() <= small_rows:
-        return detail.join(F.broadcast(table), key, how)
-    hot = crowded_keys(detail, key)
-    known = keyed(detail, key)
-    parts = []
-    if hot:
-        parts.append(known.filter(F.col(name(key)).isin(hot)).join(
-            F.broadcast(table.filter(F.col(name(key)).isin(hot))), key, how
-        ))
-        known = known.filter(~F.col(name(key)).isin(hot))
-    parts.append(known.join(table, key, how))
-    if how == "left":
-        keyless = detail.filter(f"{name(key)} IS NULL")
-        extra = [f for f in table.schema.fields if f.name != key]
-        parts.append(keyless.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]))
-    return reduce(DataFrame.unionByName, parts)
+    return _dealt_join(detail, table, _hot(per_key(detail, [key], []), [key], hot_parts), [key], how, hot_parts)
 
 
 def left_assemble(base: DataFrame, key: str, families: Sequence[DataFrame]) -> DataFrame:

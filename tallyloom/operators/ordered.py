@@ -20,19 +20,16 @@ from tallyloom.functions.scalars import called
 from tallyloom.functions.scalars import name as col_name
 from tallyloom.operators.staging import stage
 
-# At most this many ranges; tables of distinct values below ROWS_PER_RANGE are not cut.
-RANGES = 4096
-ROWS_PER_RANGE = 200_000
 _V, _C, _B, _LO = "__value", "__count", "__range", "__before"
 
 
 def with_range(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
     """Add the index of the value range a numeric column falls in.
 
-    The number of ranges follows the number of rows unless it is given.
+    There are as many ranges as the session has shuffle partitions, unless their number is given.
     """
     if ranges is None:
-        ranges = min(RANGES, df.count() // ROWS_PER_RANGE + 1)
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if ranges < 2:
         return df.withColumn(_B, F.lit(0.0))
     probabilities = [i / ranges for i in range(1, ranges)]

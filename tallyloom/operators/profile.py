@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.aggregates import hits, mean, pearson, share
 from tallyloom.functions.columns import quoted
-from tallyloom.functions.scalars import called, literal, name
+from tallyloom.functions.scalars import called, literal, name, nan_to_null
 from tallyloom.operators.aggregate import keyed, size_expr
+from tallyloom.operators.joins import lookup
 from tallyloom.operators.ordered import median, quantiles
 from tallyloom.operators.schema import string_columns
 
 
-MAX_CLASSES = 100
 COLUMNS_AT_ONCE = 40
 
 
@@ -98,10 +98,9 @@ def class_summary(df: DataFrame, column: str, label: str) -> DataFrame:
 
 def scott_bandwidth(df: DataFrame, column: str, by: str) -> DataFrame:
     """Per class: sample standard deviation times n^(-1/5)."""
-    x = quoted(column).cast("double")
-    return df.groupBy(by).agg(
-        (F.stddev_samp(x) * F.pow(F.count(x).cast("double"), F.lit(-0.2))).alias("bandwidth")
-    )
+    x = f"double({name(column)})"
+    spread = nan_to_null(f"stddev_samp({x})")
+    return df.groupBy(by).agg(F.expr(f"{spread} * power(double(count({x})), -0.2D) AS bandwidth"))
 
 
 def class_density(
@@ -114,15 +113,12 @@ def class_density(
     """Gaussian kernel density of a column per label value at given points.
 
     Each grid point is one partial aggregate, so no row is multiplied by the grid.
-    Without a bandwidth Scott's rule is applied per class (at most a few classes).
+    Without a bandwidth Scott's rule is applied per class.
     """
     known = keyed(df, column, label)
     if bandwidth is None:
-        widths = scott_bandwidth(known, column, label).limit(MAX_CLASSES + 1).collect()
-        if len(widths) > MAX_CLASSES:
-            raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class label")
-        cases = "".join(f" WHEN {name(label)} = {literal(r[0])} THEN {literal(r[1])}" for r in widths)
-        width = f"(CASE{cases} END)" if cases else "double(NULL)"
+        known = lookup(known.select(label, column), scott_bandwidth(known, column, label), label)
+        width = "bandwidth"
     else:
         width = literal(float(bandwidth))
     cells = []
@@ -178,7 +174,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         {
             "count": lambda c: f"count({c})",
             "mean": mean,
-            "std": lambda c: f"stddev_samp(double({c}))",
+            "std": lambda c: nan_to_null(f"stddev_samp(double({c}))"),
             "min": lambda c: f"min(double({c}))",
             "max": lambda c: f"max(double({c}))",
         },

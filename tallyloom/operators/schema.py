@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.columns import quoted
 from tallyloom.functions.scalars import name
 
+# modulus and multiplier of the minimal standard generator
+_MODULUS, _MULTIPLIER = 2147483647, 48271
+
 
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Drop by name. Repeated names are fine, an unknown name is an error."""
@@ -48,9 +51,21 @@ def feature_columns(df: DataFrame, excluded: Collection[str]) -> list[str]:
     return [c for c in df.columns if c not in set(excluded)]
 
 
-def random_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """Exactly ``n`` random rows (all of them if there are fewer)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def scrambled(key: Column, seed: int) -> Column:
+    """A number below 2^31 - 1 of an integer key; two rounds of a multiplicative hash."""
+    x = F.pmod(key.cast("long"), F.lit(_MODULUS))
+    for step in (1, 2):
+        x = F.pmod(x * F.lit(_MULTIPLIER) + F.lit(seed * step), F.lit(_MODULUS))
+        x = F.pmod(x * x, F.lit(_MODULUS))
+    return x
+
+
+def random_rows(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
+    """Exactly ``n`` random rows (all of them if there are fewer), the same ones however the rows are partitioned.
+
+    ``key`` is a unique integer.
+    """
+    return df.orderBy(scrambled(quoted(key), seed), quoted(key)).limit(n)
 
 
 def first_rows(df: DataFrame, key: str, n: int | None) -> DataFrame:

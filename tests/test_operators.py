@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import evaluate as E
 from tallyloom.operators import joins, ordered, profile, schema
-from tallyloom.operators.aggregate import size_expr
+from tallyloom.operators.aggregate import agg_exprs, size_expr
 from tallyloom.operators.encode import discover_vocabulary, factorize, label_encode_binary, one_hot
 from tallyloom.operators.score import ScoreTerm, with_scores
 
@@ -24,8 +24,8 @@ def skewed_rows(n=600, seed=3):
     ]
 
 
-# forced: no table is small, keys above a tenth of the rows are hot
-FORCED = {"small_rows": 0, "hot_parts": 10}
+# forced: keys above a tenth of the rows are hot
+FORCED = {"hot_parts": 10}
 
 
 @pytest.mark.parametrize("options", [{}, FORCED])
@@ -57,22 +57,28 @@ def test_keep_groups(spark, options, limit):
     assert {r.id for r in kept.collect()} == want and kept.count() == len(want)
 
 
-@pytest.mark.parametrize("small_rows", [100, 0])
+@pytest.mark.parametrize("hot_parts", [20_000, 10])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup(spark, small_rows, how):
+def test_lookup(spark, hot_parts, how):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "id int, k int, x double")
     table = spark.createDataFrame([(k, f"v{k}") for k in range(0, 60, 2)], "k int, v string")
-    got = sorted(tuple(r) for r in joins.lookup(df, table, "k", how, small_rows).select("id", "v").collect())
+    got = sorted(tuple(r) for r in joins.lookup(df, table, "k", how, hot_parts).select("id", "v").collect())
     found = {i: f"v{k}" if k is not None and k % 2 == 0 else None for i, k, _ in rows}
     want = [(i, v) for i, v in found.items() if v is not None or how == "left"]
     assert [g[0] for g in got] == [w[0] for w in sorted(want)] and dict(got) == dict(want)
 
 
-def test_crowded_keys(spark):
-    rows = [(0,)] * 400 + [(i,) for i in range(1, 1201)] + [(None,)] * 50
-    assert joins.crowded_keys(spark.createDataFrame(rows, "k int"), "k", limit=100) == [0]
-    assert joins.crowded_keys(spark.createDataFrame([], "k int"), "k") == []
+def test_hot_and_missing_keys_are_dealt(spark):
+    rows = [(i, 0 if i % 3 == 0 else None if i % 3 == 1 else i) for i in range(3000)]
+    detail = spark.createDataFrame(rows, "id int, k int")
+    table = joins.per_key(detail, ["k"], [F.max("id").alias("last")])
+    hot = joins._hot(table, ["k"], 30)
+    assert [tuple(r) for r in hot.collect()] == [(0, 15)]
+    joined = joins.attach(detail, table, ["k"], hot_parts=30)
+    assert joined.count() == 3000 and joined.where("k = 0 and last = 2997").count() == 1000
+    assert joined.where("k is null and last is null").count() == 1000
+    assert joins.attach(detail.limit(0), table.limit(0), ["k"]).collect() == []
 
 
 def test_outer_assembly_and_flag(spark):
@@ -126,14 +132,13 @@ def test_prefix_sum(spark, ranges):
         assert r.below == sum(i % 4 for i in range(r.v))
 
 
-def test_factorize_small_and_large_vocabulary(spark):
+def test_factorize(spark):
     rows = [(3, "b"), (1, None), (2, "b"), (5, "a"), (4, "c"), (6, "a"), (7, None)]
     df = spark.createDataFrame(rows, "o int, c string")
     want = {1: -1, 2: 0, 3: 0, 4: 1, 5: 2, 6: 2, 7: -1}
     df = df.withColumn("d", F.upper("c"))
-    for small in (10, 0):
-        coded = factorize(df, ["c", "d"], "o", small).collect()
-        assert {r.o: r.c for r in coded} == want and {r.o: r.d for r in coded} == want
+    coded = factorize(df, ["c", "d"], "o").collect()
+    assert {r.o: r.c for r in coded} == want and {r.o: r.d for r in coded} == want
 
 
 def test_one_hot(spark):
@@ -147,13 +152,17 @@ def test_one_hot(spark):
     assert "c_nan" in new
 
 
-def test_vocabulary_is_refused_not_cut(spark, monkeypatch):
-    import tallyloom.operators.encode as encode
+def test_vocabulary_is_refused_not_cut(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x")], "c string, d string")
+    with pytest.raises(ValueError, match="categories in \\['c'\\]"):
+        discover_vocabulary(df, ["c", "d"], limit=2)
+    assert discover_vocabulary(df, ["c", "d"], limit=3) == {"c": ["a", "b", "c"], "d": ["x"]}
 
-    monkeypatch.setattr(encode, "MAX_CATEGORIES", 2)
-    df = spark.createDataFrame([("a",), ("b",), ("c",)], "c string")
-    with pytest.raises(ValueError, match="categories"):
-        discover_vocabulary(df, ["c"])
+
+def test_infinite_ratios_leave_no_nan(spark):
+    df = spark.createDataFrame([(1, float("inf")), (1, 2.0), (2, float("inf")), (2, float("-inf")), (3, 1.0), (3, 3.0)], "k int, x double")
+    out = df.groupBy("k").agg(*agg_exprs({"x": ["mean", "var"]})).orderBy("k")
+    assert [tuple(r) for r in out.collect()] == [(1, float("inf"), None), (2, None, None), (3, 2.0, 2.0)]
 
 
 def test_label_encoding(spark):
@@ -220,7 +229,7 @@ def test_schema_operators(spark):
     stacked = schema.append_unlabelled(df, df.drop("x"))
     labelled, unlabelled = schema.split_by_label(stacked, "x")
     assert (labelled.count(), unlabelled.count()) == (1, 1)
-    assert schema.random_rows(spark.range(100), 10, 1).distinct().count() == 10
+    assert schema.random_rows(spark.range(100), 10, 1, "id").distinct().count() == 10
     assert [r.id for r in schema.first_rows(spark.range(9).orderBy(F.desc("id")), "id", 2).collect()] == [0, 1]
 
 

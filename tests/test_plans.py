@@ -90,3 +90,14 @@ def test_assembly_shuffles_each_table_once(spark, scans):
     base = scans["application_train"].select("SK_ID_CURR", "TARGET")
     # aggregation already places rows by the join key: no further shuffle for the families
     assert shuffles(plan(left_assemble(base, "SK_ID_CURR", tables))) == 4
+
+
+def test_detail_is_read_once_when_results_are_joined_back(scans):
+    from tallyloom.operators.joins import attach, lookup, per_key
+
+    detail = scans["POS_CASH_balance"]
+    text = plan(attach(detail, per_key(detail, ["SK_ID_CURR"], [F.max("SK_DPD").alias("m")]), ["SK_ID_CURR"]))
+    # the other scans are of the written table of keys
+    assert text.count("MONTHS_BALANCE:int") == 1
+    text = plan(lookup(detail, scans["previous_application"].dropDuplicates(["SK_ID_PREV"]), "SK_ID_PREV"))
+    assert text.count("CNT_INSTALMENT_FUTURE:double") == 1
