@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driver_queries import family_sql as S
+from driver_queries.operators import fold_sql
 from driver_queries.registry import query
 from driver_queries.roles import all_tables, applications, role, with_roles
 from tallyloom.operators.evaluate import BoostSettings, ablation, kfold_boosted_trees, leading_features
@@ -139,7 +140,7 @@ def assembled_features(spark, folder):
     return assembly.feature_table(all_tables(spark, folder))
 
 
-# --- model evaluation: no SQL counterpart ------------------------------------
+# --- model evaluation: SQL states which rows, folds and features take part -----
 
 # few rounds: these queries show the jobs, the settings for real runs are the defaults
 _QUICK = BoostSettings(rounds=4, depth=3, bins=32, min_rows=10, step=0.3)
@@ -169,6 +170,41 @@ def gbt_importance(spark, folder):
     return leading_features(_evaluated(spark, folder).importances, 40)
 
 
+@query(
+    with_roles(
+        ("application",),
+        S.application(),
+        f"""SELECT SK_ID_CURR, CAST(TARGET AS DOUBLE) AS TARGET, CASE WHEN TARGET IS NOT NULL THEN 1 + {fold_sql('SK_ID_CURR')} END AS fold,
+        CASE WHEN TARGET IS NULL THEN 5 ELSE 1 END AS models, TRUE AS probabilities FROM fam_application""",
+    )
+)
+def gbt_rows(spark, folder):
+    """Labelled rows are judged once, by the model of their fold; the others by each of five models."""
+    result = _evaluated(spark, folder)
+    probability = F.bool_and(F.col("prediction").between(0, 1)).alias("probabilities")
+    judged = result.out_of_fold.groupBy("SK_ID_CURR", "TARGET").agg(
+        F.max("fold").alias("fold"), F.count("*").alias("models"), probability
+    )
+    new = result.scored.groupBy("SK_ID_CURR").agg(F.count_distinct("fold").alias("models"), probability)
+    return judged.unionByName(new.selectExpr("*", "double(NULL) AS TARGET", "int(NULL) AS fold"))
+
+
+@query(
+    with_roles(
+        _ALL_ROLES,
+        S.assembled(),
+        """SELECT fold, features, TRUE AS sums_to_one FROM range(1, 6) folds(fold),
+        (SELECT len(list_distinct(json_keys(to_json(f)))) - 2 AS features FROM fam_assembled f LIMIT 1)""",
+    )
+)
+def gbt_importance_sums(spark, folder):
+    """Every fold weighs every feature, and its weights add up to one."""
+    total = F.abs(F.sum("importance") - 1) < 1e-9
+    return _evaluated(spark, folder).importances.groupBy("fold").agg(
+        F.count_distinct("feature").alias("features"), total.alias("sums_to_one")
+    )
+
+
 @query()
 def family_ablation(spark, folder):
     tables = all_tables(spark, folder)

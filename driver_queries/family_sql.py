@@ -1,12 +1,19 @@
 """DuckDB counterparts of the feature families, written from the family definitions.
 
 Each function returns named steps (common table expressions); the last one, named
-like the family, holds its result. Division is DuckDB's own IEEE division.
+like the family, holds its result. Division is DuckDB's own IEEE division. Fixed values (column
+lists, category names, aggregates, score terms) are stated once, with the plans, and imported here.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
+from tallyloom.plans import names
 from tallyloom.plans import score_terms as terms
+from tallyloom.plans.balances import CARD_ALL, CARD_OWING, CARD_USED, PAYMENTS
+from tallyloom.plans.bureau import ACTIVE_LOANS, ALL_LOANS, CLOSED_LOANS
+from tallyloom.plans.previous_history import NUMERIC as PREVIOUS_HISTORY
 
 
 def q(column: str) -> str:
@@ -48,13 +55,11 @@ def _agg(function: str, column: str, where: str | None) -> str:
     return f"{function}({column}){keep}"
 
 
-def aggs(spec: str, prefix: str, where: str | None = None) -> str:
-    """``COLUMN f f; COLUMN f`` to a select list."""
-    out = []
-    for item in spec.split(";"):
-        column, *functions = item.split()
-        out += [f"{_agg(f, column, where)} AS {q(f'{prefix}{column}_{f.upper()}')}" for f in functions]
-    return ",\n  ".join(out)
+def aggs(spec: Mapping[str, Sequence[str]], prefix: str, where: str | None = None) -> str:
+    """Select list of each column's aggregates."""
+    return ",\n  ".join(
+        f"{_agg(f, column, where)} AS {q(f'{prefix}{column}_{f.upper()}')}" for column, functions in spec.items() for f in functions
+    )
 
 
 def shares(column: str, values, prefix: str, nan: bool, where: str | None = None) -> str:
@@ -117,29 +122,14 @@ def application() -> dict[str, str]:
     return {**codes, "app_derived": derived, "fam_application": final}
 
 
-BUREAU_ALL = (
-    "ENDDATE_DIFF mean; ENDDATE_FACT_DIFF mean; AMT_CREDIT_MAX_OVERDUE mean; AMT_CREDIT_SUM max mean sum;"
-    "AMT_CREDIT_SUM_OVERDUE mean; AMT_CREDIT_SUM_LIMIT mean sum; AMT_CREDIT_SUM_DEBT max sum;"
-    "AMT_ANNUITY max mean; DPD_SCORE mean"
-)
-BUREAU_ACTIVE = (
-    "ENDDATE_DIFF mean; AMT_CREDIT_MAX_OVERDUE mean; AMT_CREDIT_SUM max mean sum;"
-    "AMT_CREDIT_SUM_OVERDUE mean; AMT_CREDIT_SUM_LIMIT mean sum; AMT_CREDIT_SUM_DEBT mean sum"
-)
-BUREAU_CLOSED = (
-    "ENDDATE_DIFF mean; ENDDATE_FACT_DIFF mean; AMT_CREDIT_MAX_OVERDUE mean; AMT_CREDIT_SUM max mean sum;"
-    "AMT_CREDIT_SUM_OVERDUE mean; AMT_CREDIT_SUM_LIMIT max mean sum; AMT_ANNUITY max mean;"
-    "AMT_CREDIT_SUM_DEBT mean sum"
-)
-
-
 def bureau() -> dict[str, str]:
     ratios = []
-    for item in BUREAU_ACTIVE.split(";"):
-        column, *functions = item.split()
+    for column, functions in ACTIVE_LOANS.items():
         for f in functions:
             n = f"{column}_{f.upper()}"
             ratios.append(f"{div(f'ACTIVE_{n}', f'CLOSED_{n} + 1')} AS NEW_RATIO_BURO_{n}")
+    # a name may stand twice in the lists
+    dropped = ", ".join(q(c) for c in dict.fromkeys([*names.BUREAU_OPTIONAL, *names.BUREAU_DROPPED_AFTER_SCORE]))
     return {
         "bb_dpd": """SELECT SK_ID_BUREAU, coalesce(sum(CASE WHEN STATUS IS NOT DISTINCT FROM '0' THEN 0e0
           ELSE pow(CAST(1.2 AS DOUBLE), MONTHS_BALANCE) END), 0e0) AS DPD_SCORE FROM bureau_balance
@@ -154,60 +144,90 @@ def bureau() -> dict[str, str]:
           CASE WHEN AMT_ANNUITY BETWEEN 100 AND 10000000 THEN AMT_ANNUITY END AS AMT_ANNUITY
           FROM bureau LEFT JOIN bb_dpd USING (SK_ID_BUREAU)
           WHERE CREDIT_TYPE IN ('Consumer credit', 'Credit card') AND AMT_CREDIT_SUM > 1000""",
-        "loan_aggs": f"""SELECT SK_ID_CURR, {aggs(BUREAU_ALL, 'BURO_')},
-          {shares('CREDIT_ACTIVE', ('Active', 'Closed', 'Sold'), 'BURO_', False)},
-          {shares('CREDIT_TYPE', ('Consumer credit', 'Credit card'), 'BURO_', False)},
-          {aggs(BUREAU_ACTIVE, 'ACTIVE_', "CREDIT_ACTIVE = 'Active'")},
-          {aggs(BUREAU_CLOSED, 'CLOSED_', "CREDIT_ACTIVE = 'Closed'")}
+        "loan_aggs": f"""SELECT SK_ID_CURR, {aggs(ALL_LOANS, 'BURO_')},
+          {shares('CREDIT_ACTIVE', names.CREDIT_ACTIVE, 'BURO_', False)},
+          {shares('CREDIT_TYPE', names.CREDIT_TYPES_KEPT, 'BURO_', False)},
+          {aggs(ACTIVE_LOANS, 'ACTIVE_', "CREDIT_ACTIVE = 'Active'")},
+          {aggs(CLOSED_LOANS, 'CLOSED_', "CREDIT_ACTIVE = 'Closed'")}
           FROM loans GROUP BY SK_ID_CURR""",
         "loan_ratios": f"SELECT *, {', '.join(ratios)} FROM loan_aggs",
-        "fam_bureau": f"""SELECT * EXCLUDE (BURO_AMT_CREDIT_MAX_OVERDUE_MEAN, BURO_AMT_ANNUITY_MAX, BURO_AMT_ANNUITY_MEAN,
-          BURO_AMT_CREDIT_SUM_MAX, BURO_AMT_CREDIT_SUM_MEAN, BURO_AMT_CREDIT_SUM_SUM, BURO_AMT_CREDIT_SUM_LIMIT_MEAN,
-          BURO_AMT_CREDIT_SUM_LIMIT_SUM, BURO_AMT_CREDIT_SUM_OVERDUE_MEAN, CLOSED_AMT_CREDIT_SUM_OVERDUE_MEAN,
-          CLOSED_AMT_CREDIT_SUM_LIMIT_SUM, NEW_RATIO_BURO_AMT_CREDIT_SUM_OVERDUE_MEAN),
+        "fam_bureau": f"""SELECT * EXCLUDE ({dropped}),
           {score(terms.BUREAU_SCORE, 'BUREAU_SCORE')} FROM loan_ratios""",
     }
 
 
-_GOODS = [
-    "XNA", "Mobile", "Consumer Electronics", "Computers", "Audio/Video", "Furniture",
-    "Photo / Cinema Equipment", "Construction Materials", "Clothing and Accessories",
-    "Auto Accessories", "Jewelry", "Homewares", "Medical Supplies", "Vehicles",
-]
-_CASH = [f"Cash {kind}: {level}" for kind in ("X-Sell", "Street") for level in ("low", "middle", "high")]
-_POS = [
-    "POS household with interest", "POS household without interest", "POS industry with interest",
-    "POS industry without interest", "POS mobile with interest", "POS mobile without interest",
-    "POS other with interest", "POS others without interest",
-]
+# Aggregates of each product family; approved ones have the dates as well
+PREVIOUS_CASH_APPROVED = {
+    "AMT_ANNUITY": ["mean", "sum"],
+    "AMT_APPLICATION": ["mean", "sum"],
+    "AMT_CREDIT": ["mean", "sum"],
+    "DAYS_LAST_DUE_DIFF": ["mean"],
+    "DAYS_LAST_DUE_1ST_VERSION_DIFF": ["mean"],
+    "DAYS_TERMINATION_DIFF": ["mean"],
+    "CNT_PAYMENT": ["mean", "max"],
+    "RATIO_ANN_TO_APP": ["mean"],
+}
+PREVIOUS_CASH_REFUSED = {
+    "AMT_ANNUITY": ["mean", "sum"],
+    "AMT_APPLICATION": ["mean", "sum"],
+    "AMT_CREDIT": ["mean", "sum"],
+    "CNT_PAYMENT": ["mean", "max"],
+    "RATIO_ANN_TO_APP": ["mean"],
+}
+PREVIOUS_CONSUME_APPROVED = {
+    "AMT_ANNUITY": ["mean", "sum"],
+    "AMT_APPLICATION": ["mean", "sum"],
+    "AMT_CREDIT": ["mean", "sum"],
+    "RATE_DOWN_PAYMENT": ["mean", "max"],
+    "DAYS_LAST_DUE_DIFF": ["mean"],
+    "DAYS_LAST_DUE_1ST_VERSION_DIFF": ["mean"],
+    "DAYS_TERMINATION_DIFF": ["mean"],
+    "CNT_PAYMENT": ["mean", "max"],
+    "RATIO_ANN_TO_APP": ["mean"],
+}
+PREVIOUS_CONSUME_REFUSED = {
+    "AMT_ANNUITY": ["mean", "sum"],
+    "AMT_APPLICATION": ["mean", "sum"],
+    "AMT_CREDIT": ["mean", "sum"],
+    "RATE_DOWN_PAYMENT": ["mean", "max"],
+    "CNT_PAYMENT": ["mean", "max"],
+    "RATIO_ANN_TO_APP": ["mean"],
+}
+PREVIOUS_REVOLVING_APPROVED = {
+    "AMT_ANNUITY": ["mean", "sum"],
+    "AMT_CREDIT": ["mean", "sum"],
+    "DAYS_LAST_DUE_DIFF": ["mean"],
+    "DAYS_TERMINATION_DIFF": ["mean"],
+    "RATIO_ANN_TO_APP": ["mean"],
+}
+PREVIOUS_REVOLVING_REFUSED = {
+    "AMT_ANNUITY": ["mean", "sum"],
+    "AMT_CREDIT": ["mean", "sum"],
+    "RATIO_ANN_TO_APP": ["mean"],
+}
 
 
 def _prev_family(outcome: str, family: str) -> str:
     prefix = f"PREV_{outcome}_{family}_"
-    dates = "DAYS_LAST_DUE_DIFF mean; DAYS_LAST_DUE_1ST_VERSION_DIFF mean; DAYS_TERMINATION_DIFF mean;"
+    approved = outcome == "APPR"
     lists, extra = [], []
     if family == "CASH":
-        spec = "AMT_ANNUITY mean sum; AMT_APPLICATION mean sum; AMT_CREDIT mean sum;"
-        spec += (dates if outcome == "APPR" else "") + "CNT_PAYMENT mean max; RATIO_ANN_TO_APP mean"
+        spec = PREVIOUS_CASH_APPROVED if approved else PREVIOUS_CASH_REFUSED
         where = "NAME_CONTRACT_TYPE = 'Cash loans' AND PRODUCT_COMBINATION IS DISTINCT FROM 'Cash'"
-        lists.append(shares("PRODUCT_COMBINATION", _CASH, prefix, False))
+        lists.append(shares("PRODUCT_COMBINATION", names.CASH_PRODUCTS, prefix, False))
         extra = [
             f"CAST(sum(CASE WHEN PRODUCT_COMBINATION = '{p}' THEN 1 ELSE 0 END) AS BIGINT) AS {q(f'{prefix}PRODUCT_COMBINATION_{p}_SUM')}"
-            for p in _CASH
+            for p in names.CASH_PRODUCTS
         ]
     elif family == "CONSUME":
-        spec = "AMT_ANNUITY mean sum; AMT_APPLICATION mean sum; AMT_CREDIT mean sum; RATE_DOWN_PAYMENT mean max;"
-        spec += (dates if outcome == "APPR" else "") + "CNT_PAYMENT mean max; RATIO_ANN_TO_APP mean"
+        spec = PREVIOUS_CONSUME_APPROVED if approved else PREVIOUS_CONSUME_REFUSED
         where = "NAME_CONTRACT_TYPE = 'Consumer loans'"
-        lists.append(shares("NAME_GOODS_CATEGORY", [*_GOODS, "Others"], prefix, False))
-        lists.append(shares("PRODUCT_COMBINATION", _POS, prefix, False))
+        lists.append(shares("NAME_GOODS_CATEGORY", [*names.GOODS_KEPT, "Others"], prefix, False))
+        lists.append(shares("PRODUCT_COMBINATION", names.CONSUMER_PRODUCTS, prefix, False))
     else:
-        spec = "AMT_ANNUITY mean sum; AMT_CREDIT mean sum;"
-        if outcome == "APPR":
-            spec += "DAYS_LAST_DUE_DIFF mean; DAYS_TERMINATION_DIFF mean;"
-        spec += "RATIO_ANN_TO_APP mean"
+        spec = PREVIOUS_REVOLVING_APPROVED if approved else PREVIOUS_REVOLVING_REFUSED
         where = "NAME_CONTRACT_TYPE = 'Revolving loans' AND AMT_CREDIT IS DISTINCT FROM 0"
-        lists.append(shares("PRODUCT_COMBINATION", ["Card Street", "Card X-Sell"], prefix, False))
+        lists.append(shares("PRODUCT_COMBINATION", names.REVOLVING_PRODUCTS, prefix, False))
     status = {"APPR": "Approved", "REFU": "Refused"}[outcome]
     source = "prev"
     if family == "REVOLVING":
@@ -217,35 +237,10 @@ def _prev_family(outcome: str, family: str) -> str:
       WHERE NAME_CONTRACT_STATUS = '{status}' AND {where} GROUP BY SK_ID_CURR"""
 
 
-_PREV_DROPPED = [
-    *[f"PREV_APPR_CONSUME_NAME_GOODS_CATEGORY_{g}_MEAN" for g in ("Homewares", "Medical Supplies", "XNA")],
-    *[
-        f"PREV_REFU_CONSUME_NAME_GOODS_CATEGORY_{g}_MEAN"
-        for g in (
-            "Furniture", "Others", "Vehicles", "Jewelry", "Homewares", "Clothing and Accessories",
-            "Auto Accessories", "Medical Supplies", "Construction Materials",
-        )
-    ],
-    *[
-        f"PREV_REFU_CONSUME_PRODUCT_COMBINATION_POS {p}_MEAN"
-        for p in (
-            "other with interest", "industry without interest", "others without interest",
-            "household without interest",
-        )
-    ],
-    "PREV_APPR_CONSUME_PRODUCT_COMBINATION_POS others without interest_MEAN",
-    "PREV_APPR_CASH_PRODUCT_COMBINATION_Cash Street: middle_SUM",
-    *[f"PREV_REFU_CASH_PRODUCT_COMBINATION_Cash {p}_SUM" for p in ("Street: low", "X-Sell: low", "X-Sell: middle")],
-    "PREV_APPR_REVOLVING_COUNT",
-    "PREV_APPR_REVOLVING_RATIO_ANN_TO_APP_MEAN",
-    "PREV_APPR_REVOLVING_DAYS_TERMINATION_DIFF_MEAN",
-]
-
-
 def previous() -> dict[str, str]:
     day = "nullif({}, 365243)"
     first = day.format("DAYS_FIRST_DUE")
-    goods = ", ".join(f"'{g}'" for g in _GOODS)
+    goods = ", ".join(f"'{g}'" for g in names.GOODS_KEPT)
     steps = {
         "prev": f"""SELECT * REPLACE (CASE WHEN NAME_GOODS_CATEGORY IN ({goods}) THEN NAME_GOODS_CATEGORY
           ELSE 'Others' END AS NAME_GOODS_CATEGORY),
@@ -262,12 +257,20 @@ def previous() -> dict[str, str]:
         f" FULL JOIN prev_{o}_{f} USING (SK_ID_CURR)" for o, f in groups[1:]
     )
     steps["prev_wide"] = f"SELECT * FROM {joined}"
-    dropped = ", ".join(q(c) for c in _PREV_DROPPED)
+    dropped = ", ".join(q(c) for c in names.PREVIOUS_DROPPED_AFTER_SCORE)
     steps["fam_previous"] = f"""SELECT * EXCLUDE ({dropped}), {score(terms.PREV_CASH_SCORE, 'PREV_CASH_SCORE')},
       {score(terms.PREV_CONSUME_SCORE, 'PREV_CONSUME_SCORE')} FROM prev_wide"""
     return steps
 
 
+# Fixed values
+POS_ARREARS = {
+    "SK_DPD_MAX": ["max", "mean"],
+    "SK_DPD_DEF_MAX": ["max", "mean"],
+    "DPD_RATIO": ["max", "mean"],
+}
+
+
 def pos() -> dict[str, str]:
     latest = """SELECT SK_ID_CURR, SK_ID_PREV, {c} AS v FROM (SELECT *, row_number() OVER (
       PARTITION BY SK_ID_CURR, SK_ID_PREV ORDER BY MONTHS_BALANCE DESC NULLS LAST, {tie} DESC) AS rn
@@ -284,7 +287,7 @@ def pos() -> dict[str, str]:
           FROM (SELECT DISTINCT SK_ID_CURR, SK_ID_PREV FROM POS_CASH_balance WHERE SK_ID_PREV IS NOT NULL) c
           LEFT JOIN pos_status s USING (SK_ID_CURR, SK_ID_PREV)
           LEFT JOIN pos_future f USING (SK_ID_CURR, SK_ID_PREV) GROUP BY c.SK_ID_CURR""",
-        "pos_arrears": f"""SELECT SK_ID_CURR, {aggs("SK_DPD_MAX max mean; SK_DPD_DEF_MAX max mean; DPD_RATIO max mean", "POS_")}
+        "pos_arrears": f"""SELECT SK_ID_CURR, {aggs(POS_ARREARS, "POS_")}
           FROM (SELECT SK_ID_PREV, max(SK_ID_CURR) AS SK_ID_CURR, max(SK_DPD) AS SK_DPD_MAX,
             max(SK_DPD_DEF) AS SK_DPD_DEF_MAX, {div('max(SK_DPD)', 'max(SK_DPD_DEF)')} AS DPD_RATIO
             FROM POS_CASH_balance WHERE NAME_CONTRACT_STATUS = 'Active' AND SK_ID_PREV IS NOT NULL GROUP BY SK_ID_PREV)
@@ -296,10 +299,6 @@ def pos() -> dict[str, str]:
 
 
 def installments() -> dict[str, str]:
-    spec = (
-        "NUM_INSTALMENT_VERSION nunique; DPD max mean sum; DBD max mean sum; PAYMENT_PERC mean;"
-        "AMT_INSTALMENT max mean sum; AMT_PAYMENT min max mean sum"
-    )
     keys = "SK_ID_CURR, NUM_INSTALMENT_VERSION, NUM_INSTALMENT_NUMBER, DAYS_INSTALMENT, AMT_INSTALMENT"
     present = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
     late, early = "count(*) FILTER (WHERE DPD > 0)", "count(*) FILTER (WHERE DBD > 0)"
@@ -312,7 +311,7 @@ def installments() -> dict[str, str]:
           coalesce(greatest(DAYS_INSTALMENT - DAYS_ENTRY_PAYMENT, 0e0), 0e0) AS DBD
           FROM ins_merged WHERE NOT (AMT_INSTALMENT = 67.5e0 AND DAYS_ENTRY_PAYMENT IS NULL)
           AND DAYS_INSTALMENT < -180 AND AMT_INSTALMENT > 1000""",
-        "ins_aggs": f"""SELECT SK_ID_CURR, {aggs(spec, 'INSTAL_')}, count(*) AS INSTAL_COUNT,
+        "ins_aggs": f"""SELECT SK_ID_CURR, {aggs(PAYMENTS, 'INSTAL_')}, count(*) AS INSTAL_COUNT,
           CAST({late} AS DOUBLE) / ({early} + CAST('0.001' AS DOUBLE)) AS INSTAL_DPD_DBD_RATIO,
           {late} - {early} AS INSTAL_DPD_DBD_DIFF FROM ins_rows GROUP BY SK_ID_CURR""",
         "fam_installments": f"SELECT *, {score(terms.INSTAL_SCORE, 'INSTAL_SCORE')} FROM ins_aggs",
@@ -320,21 +319,14 @@ def installments() -> dict[str, str]:
 
 
 def card() -> dict[str, str]:
-    raw = (
-        "AMT_BALANCE max mean; AMT_DRAWINGS_CURRENT max mean sum; AMT_INST_MIN_REGULARITY max;"
-        "AMT_PAYMENT_CURRENT mean; AMT_PAYMENT_TOTAL_CURRENT max mean; AMT_PAYMENT_MAX mean;"
-        "AMT_TOTAL_RECEIVABLE max mean"
-    )
-    used = "AMT_BALANCE mean; AMT_INST_MIN_REGULARITY mean; AMT_PAYMENT_CURRENT sum; AMT_TOTAL_RECEIVABLE mean"
-    owing = "AMT_BALANCE mean; AMT_DRAWINGS_CURRENT max; AMT_PAYMENT_CURRENT sum"
     return {
         "cc_rows": """SELECT *, CASE WHEN AMT_PAYMENT_CURRENT IS NULL THEN NULL
           WHEN AMT_PAYMENT_TOTAL_CURRENT > AMT_PAYMENT_CURRENT THEN AMT_PAYMENT_TOTAL_CURRENT
           ELSE AMT_PAYMENT_CURRENT END AS AMT_PAYMENT_MAX FROM credit_card_balance""",
-        "cc_raw": f"SELECT SK_ID_CURR, {aggs(raw, 'CC_RAW_')}, count(*) AS CC_COUNT FROM cc_rows GROUP BY SK_ID_CURR",
-        "cc_used": f"""SELECT SK_ID_CURR, {aggs(used, 'CC_RM_UNUSE_')} FROM cc_rows
+        "cc_raw": f"SELECT SK_ID_CURR, {aggs(CARD_ALL, 'CC_RAW_')}, count(*) AS CC_COUNT FROM cc_rows GROUP BY SK_ID_CURR",
+        "cc_used": f"""SELECT SK_ID_CURR, {aggs(CARD_USED, 'CC_RM_UNUSE_')} FROM cc_rows
           WHERE SK_ID_CURR IN (SELECT SK_ID_CURR FROM cc_rows WHERE AMT_BALANCE > 0) GROUP BY SK_ID_CURR""",
-        "cc_owing": f"SELECT SK_ID_CURR, {aggs(owing, 'CC_EXCEED_')} FROM cc_rows WHERE AMT_BALANCE > 0 GROUP BY SK_ID_CURR",
+        "cc_owing": f"SELECT SK_ID_CURR, {aggs(CARD_OWING, 'CC_EXCEED_')} FROM cc_rows WHERE AMT_BALANCE > 0 GROUP BY SK_ID_CURR",
         "cc_wide": "SELECT * FROM cc_raw LEFT JOIN cc_used USING (SK_ID_CURR) LEFT JOIN cc_owing USING (SK_ID_CURR)",
         "fam_card": f"SELECT *, {score(terms.CC_SCORE, 'CC_SCORE')} FROM cc_wide",
     }
@@ -370,33 +362,26 @@ def missed_flag() -> dict[str, str]:
     }
 
 
-PREV_HISTORY = (
-    "AMT_ANNUITY min max mean; AMT_APPLICATION min max mean; AMT_CREDIT min max mean;"
-    "APP_CREDIT_PERC min max mean var; AMT_DOWN_PAYMENT min max mean; AMT_GOODS_PRICE min max mean;"
-    "HOUR_APPR_PROCESS_START min max mean; RATE_DOWN_PAYMENT min max mean; DAYS_DECISION min max mean;"
-    "CNT_PAYMENT mean sum"
-)
 PREV_HISTORY_VOCABULARY = {
     "NAME_CONTRACT_TYPE": ["Cash loans", "Consumer loans", "Revolving loans", "XNA"],
     "NAME_CONTRACT_STATUS": ["Approved", "Canceled", "Refused"],
-    "NAME_GOODS_CATEGORY": [*_GOODS, "Weapon", "Fitness"],
-    "PRODUCT_COMBINATION": ["Cash", *_CASH, *_POS, "Card Street", "Card X-Sell"],
+    "NAME_GOODS_CATEGORY": [*names.GOODS_KEPT, "Weapon", "Fitness"],
+    "PRODUCT_COMBINATION": ["Cash", *names.CASH_PRODUCTS, *names.CONSUMER_PRODUCTS, *names.REVOLVING_PRODUCTS],
 }
 
 
 def previous_history() -> dict[str, str]:
     ratios = []
-    for item in PREV_HISTORY.split(";"):
-        column, *functions = item.split()
+    for column, functions in PREVIOUS_HISTORY.items():
         for f in functions:
             n = f"{column}_{f.upper()}"
             ratios.append(f"{div(f'APPROVED_{n}', f'REFUSED_{n}')} AS NEW_RATIO_PREV_{n}")
     cats = ",\n".join(shares(c, v, "PREV_", True) for c, v in PREV_HISTORY_VOCABULARY.items())
     return {
         "prev_rows": f"SELECT *, {div('AMT_APPLICATION', 'AMT_CREDIT')} AS APP_CREDIT_PERC FROM previous_application",
-        "prev_sets": f"""SELECT SK_ID_CURR, {aggs(PREV_HISTORY, 'PREV_')}, {cats},
-          {aggs(PREV_HISTORY, 'APPROVED_', "NAME_CONTRACT_STATUS = 'Approved'")},
-          {aggs(PREV_HISTORY, 'REFUSED_', "NAME_CONTRACT_STATUS = 'Refused'")}
+        "prev_sets": f"""SELECT SK_ID_CURR, {aggs(PREVIOUS_HISTORY, 'PREV_')}, {cats},
+          {aggs(PREVIOUS_HISTORY, 'APPROVED_', "NAME_CONTRACT_STATUS = 'Approved'")},
+          {aggs(PREVIOUS_HISTORY, 'REFUSED_', "NAME_CONTRACT_STATUS = 'Refused'")}
           FROM prev_rows GROUP BY SK_ID_CURR""",
         "fam_previous_history": f"SELECT *, {', '.join(ratios)} FROM prev_sets",
     }

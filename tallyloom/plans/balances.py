@@ -83,6 +83,7 @@ def pos_features(pos: DataFrame) -> DataFrame:
 
 # --- installments ---------------------------------------------------------
 
+# Keys of a period and aggregates of its payments
 PERIOD_KEYS = [
     "SK_ID_CURR",
     "NUM_INSTALMENT_VERSION",
@@ -143,6 +144,7 @@ def installment_features(payments: DataFrame) -> DataFrame:
 
 # --- credit card ----------------------------------------------------------
 
+# Aggregates of all rows, of customers who used the card, and of rows with a balance
 CARD_ALL = {
     "AMT_BALANCE": ["max", "mean"],
     "AMT_DRAWINGS_CURRENT": ["max", "mean", "sum"],

@@ -13,6 +13,7 @@ from tallyloom.operators.score import with_scores
 from tallyloom.plans import names
 from tallyloom.plans.score_terms import BUREAU_SCORE
 
+# Aggregates of all, active and closed loans
 ALL_LOANS = {
     "ENDDATE_DIFF": ["mean"],
     "ENDDATE_FACT_DIFF": ["mean"],

@@ -15,6 +15,7 @@ GOODS = sorted([*names.GOODS_KEPT, "Others"])
 _DATES = ["DAYS_LAST_DUE_DIFF_MEAN", "DAYS_LAST_DUE_1ST_VERSION_DIFF_MEAN", "DAYS_TERMINATION_DIFF_MEAN"]
 _PRODUCT, _GOODS = "PRODUCT_COMBINATION", "NAME_GOODS_CATEGORY"
 
+# Aggregates of the product families
 NUMERIC = {
     "AMT_ANNUITY": ["mean", "sum"],
     "AMT_APPLICATION": ["mean", "sum"],

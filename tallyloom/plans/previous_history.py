@@ -12,6 +12,7 @@ from tallyloom.operators.encode import discover_vocabulary
 from tallyloom.operators.schema import string_columns
 from tallyloom.plans import names
 
+# Aggregates of all, approved and refused applications
 _RANGE = ["min", "max", "mean"]
 NUMERIC = {
     "AMT_ANNUITY": _RANGE,
