@@ -26,7 +26,7 @@ REGISTERS = FUNCTIONS * BUCKETS
 #: Pairs whose estimate is below the threshold by this much are not verified: almost six standard errors of 240 registers.
 SLACK = 0.15
 #: Documents of a group in which all open pairs are compared, and holders of a shingle up to which it is joined by itself.
-SMALL_GROUP, RARE = 64, 400
+SMALL_GROUP, RARE = 64, 200
 #: Orders of documents by which buckets choose their hubs; the least in its order is a bucket's hub.
 HUBS = 16
 #: Shingles hashed at once; bounds the memory of a task, whatever the lengths of texts.
