@@ -222,10 +222,13 @@ def _left_apart(crowded: DataFrame, labels: DataFrame, classes: DataFrame, docs:
     # places in buckets; in groups of few documents all of the shorter one counts as core
     known = apart.join(core.select("main", "doc", "core"), ["main", "doc"], "left").selectExpr("key", "doc", "hub", "label", "main", "n", "coalesce(core, n) as core")
     known = known.join(apart.groupBy("key").agg(F.min("n").alias("least_n")), "key").where(f"{100 + percent} * core >= {percent} * (n + least_n)")
-    known = written(known.drop("least_n"))
-    minor = known.where("label <> main").selectExpr("key", "doc as x", "label as x_label", "n as x_n", "core as x_core")
+    # a pair is settled by any bucket that both are in, so it meets in the one of the smallest key only
+    places = known.groupBy("doc").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # one key of each band at most
+    known = written(known.drop("least_n").join(places, "doc"))
+    minor = known.where("label <> main").selectExpr("key", "doc as x", "label as x_label", "n as x_n", "core as x_core", "keys as x_keys")
     inside = minor.join(known, "key").where(
         "label <> x_label and (label = main or x < doc) and x <> hub and doc <> hub and " + needed.format("least(core, x_core)")
+        + " and key = array_min(array_intersect(keys, x_keys))"
     )
     holders = rare.where("hash is not null").join(core, ["main", "doc"])
     other = holders.selectExpr("main", "hash", "doc as x", "label as x_label", "n as x_n", "core as x_core")
