@@ -144,6 +144,28 @@ def test_main_text(spark):
     assert pages.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_every_page_without_marks_is_differenced(spark):
+    def page(own):
+        return f"<p>Site line</p><p>{own}</p><p>Imprint</p>"
+
+    rows = [(i, "http://a.b/hot", page(f"hot {i}")) for i in range(300)] + [(300, "http://a.b/hot", page("hot 0"))]
+    rows += [(400, "http://a.b/z", page("end")), (401, "http://a.b/z", page("end")), (402, "http://a.b/z", page("end"))]
+    rows += [(500 + i, f"http://c.d/index.php?id={i}", page(f"item {i}")) for i in range(40)]
+    rows += [(600 + i, f"e.f/{i}", page(f"bare {i}")) for i in range(2)]
+    rows += [(700 + i, f"http://g.h/same?ref={i}", page("copy")) for i in range(30)] + [(800, "http://g.h/tail", page("tail"))]
+    rows += [(900, None, page("no url"))]
+    want = {i: html.replace("<p>Site line</p><p>", "").replace("</p><p>Imprint</p>", "") for i, _, html in rows}
+    want[900] = "Site line no url Imprint"
+    for ranges in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+        finally:
+            spark.conf.unset("spark.sql.shuffle.partitions"), spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert len(got) == len(rows) and {r.page_id: r.text for r in got} == want
+
+
 def test_packing_keeps_every_token_and_fills_well(spark, odd, none):
     rows = packing.pack_documents(odd, tokenizer_path(), length=64).collect()
     texts = {r.doc_id: r.text for r in odd.collect()}
