@@ -1,10 +1,10 @@
 """Licence notices by an exact set-similarity join of text blocks with templates.
 
-A block is a run of twice a template's words, and blocks start at every multiple of its words, so each place where the
-template could stand lies inside a block. A block matches if it holds at least a given share of the template's
-distinct tokens (containment). Tokens are ordered by the number of documents that have them, rarest first: a match
-must hold one of the first few (prefix filter), have enough distinct words (length filter), and the tokens after the
-first one found must suffice (positional filter).
+A block is a run of twice a template's words, and blocks start at every word, so whether a notice is found does not
+depend on where it stands. A block matches if it holds at least a given share of the template's distinct tokens
+(containment). Tokens are ordered by the number of documents that have them, rarest first: a text with a match must
+hold one of the first few (prefix filter), have enough distinct words (length filter), and its tokens after the first
+one found must suffice (positional filter).
 """
 
 from __future__ import annotations
@@ -96,28 +96,59 @@ def index(items: Sequence[Template], counts: dict[bytes, int]) -> Index:
     return Index(tuple(items), ordered, needed, {w: tuple(x) for w, x in prefixes.items()})
 
 
+def _blocks(places: list[tuple[int, int]], size: int, need: int) -> Iterator[tuple[int, int]]:
+    """First word and number of held words of the blocks of ``size`` words that hold ``need`` distinct words or more.
+
+    ``places`` has, in order, position and number of each word of the template in the text. Blocks end at these words, or
+    start with the text: a block of any other start holds no words that one of them lacks.
+    """
+    counts: Counter = Counter()
+    low, best = 0, None
+    for position, word in places:
+        counts[word] += 1
+        start = max(0, position - size + 1)
+        while places[low][0] < start:
+            gone = places[low][1]
+            counts[gone] -= 1
+            if not counts[gone]:
+                del counts[gone]
+            low += 1
+        if best is not None and best[0] != start:
+            yield best
+            best = None
+        if len(counts) >= need:
+            best = (start, len(counts))
+    if best is not None:
+        yield best
+
+
 def matches(words: list[bytes], found: Index) -> list[tuple[int, int, int, float]]:
-    """Template number, first word, end and containment of each block that meets its template's threshold."""
-    present = found.prefixes.keys() & set(words)
-    if not present:
+    """Template number, first word, end and containment of blocks that meet their template's threshold.
+
+    They have the labels and the greatest containment of the blocks of all starts.
+    """
+    held = set(words)
+    # first place in the template's order of a word that the text holds
+    proposed: dict[int, int] = {}
+    for word in found.prefixes.keys() & held:
+        for number, place in found.prefixes[word]:
+            proposed[number] = min(place, proposed.get(number, place))
+    possible = [(n, place) for n, place in sorted(proposed.items()) if len(held) >= found.needed[n]]
+    # the words before that place are missing
+    left = [n for n, place in possible if sum(w in held for w in found.ordered[n][place:]) >= found.needed[n]]
+    if not left:
         return []
-    # first place in the template's order of a word that the block holds
-    proposed: dict[tuple[int, int], int] = {}
+    wanted = {w for number in left for w in found.ordered[number]}
+    where: dict[bytes, list[int]] = defaultdict(list)
     for position, word in enumerate(words):
-        if word in present:
-            for number, place in found.prefixes[word]:
-                step = len(found.items[number].words)
-                for block in {position // step, max(0, position // step - 1)}:
-                    proposed[number, block] = min(place, proposed.get((number, block), place))
+        if word in wanted:
+            where[word].append(position)
     out = []
-    for (number, block), place in sorted(proposed.items()):
-        tokens, need, step = found.ordered[number], found.needed[number], len(found.items[number].words)
-        inside = set(words[block * step : (block + 2) * step])
-        if len(inside) < need or len(tokens) - place < need:
-            continue
-        held = sum(w in inside for w in tokens[place:])  # the words before it are missing
-        if held >= need:
-            out.append((number, block * step, min(len(words), (block + 2) * step), held / len(tokens)))
+    for number in left:
+        tokens, size = found.ordered[number], 2 * len(found.items[number].words)
+        places = sorted((position, k) for k, word in enumerate(tokens) for position in where.get(word, ()))
+        for start, n in _blocks(places, size, found.needed[number]):
+            out.append((number, start, min(len(words), start + size), n / len(tokens)))
     return out
 
 

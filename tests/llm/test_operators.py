@@ -91,6 +91,38 @@ def test_licence_places_and_notices(spark, odd, none):
     assert licenses.scanned(none).count() == 0
 
 
+def test_notices_are_found_at_every_word_position(spark):
+    items = licenses.templates()
+    found = licenses.index(items, dict.fromkeys({w for t in items for w in t.words}, 1))
+    notice = "licensed under the terms of the gnu lesser general public license"
+    for offset in range(24):
+        words = licenses.words_of("x " * offset + notice + " y" * 30)
+        assert "lgpl" in {items[b[0]].label for b in licenses.matches(words, found)}, offset
+    pool = sorted({w for t in items for w in t.words} | {b"x", b"y", b"z"})
+    some = 0
+    for _ in range(400):
+        words = RANDOM.choices(pool, k=RANDOM.randint(1, 20))
+        for item in RANDOM.choices(items, k=2):
+            inside = list(item.words)
+            for _ in range(RANDOM.randint(0, len(inside))):
+                inside.insert(RANDOM.randrange(len(inside) + 1), RANDOM.choice(pool))
+            words += inside + RANDOM.choices(pool, k=RANDOM.randint(0, 20))
+        want = {}
+        for number, item in enumerate(items):
+            size, tokens = 2 * len(item.words), set(item.words)
+            best = max(len(tokens & set(words[s : s + size])) / len(tokens) for s in range(len(words)))
+            if best >= item.share - 1e-9:
+                want[number] = best
+        got: dict = {}
+        for number, start, end, share in licenses.matches(words, found):
+            tokens = set(items[number].words)
+            assert share == len(tokens & set(words[start:end])) / len(tokens) and end - start <= 2 * len(items[number].words)
+            got[number] = max(share, got.get(number, 0))
+        assert got == want
+        some += bool(want)
+    assert some > 100
+
+
 def test_toxic_pairs_score_higher(spark, odd, none):
     rows = [(i, f"{prose(20)} {'grub' if i % 2 else ''} {'folk' if i % 3 else ''}", int(i % 2 and i % 3 > 0)) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
