@@ -39,15 +39,20 @@ class Languages:
 def fit(docs: DataFrame) -> Languages:
     """Learns a raw-content dictionary for each value of ``lang`` from ``docs`` (doc_id, text, lang).
 
-    The sample is bounded: for each language the ``SAMPLE_DOCS`` documents with the smallest hash of their text, of
-    each ``SAMPLE_BYTES`` bytes. Rows without a language or without letters are left out.
+    The sample is bounded: for each language ``SAMPLE_DOCS`` documents, those with the smallest hash of their text among
+    documents whose middle ``SAMPLE_BYTES`` characters have different letters, and ``SAMPLE_BYTES`` bytes of each. Copies
+    take one place, however many there are. Rows without a language or without letters are left out.
     """
     known = docs.where("lang is not null and text rlike '\\\\p{L}'").select(F.col("lang").cast("string"), F.col("text").cast("string"))
     known = known.withColumn("place", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy("place", "part")
-    # the middle of each text; the rank limit is applied before the shuffle as well
+    # the middle of each text
     parts = known.withColumn("part", F.expr(f"substring(text, greatest(1, length(text) div 2 - {SAMPLE_BYTES // 2}), {SAMPLE_BYTES})"))
-    sample = parts.select("lang", "place", "part").withColumn("rank", F.row_number().over(order)).where(f"rank <= {SAMPLE_DOCS}")
+    plain = F.trim(F.regexp_replace(F.lower("part"), r"[^\p{L}\p{Nl}\p{No}]+", " "))
+    # only hashes are made distinct and ranked; the chosen parts, of a bounded number, are fetched afterwards
+    places = parts.groupBy("lang", F.xxhash64(plain).alias("letters")).agg(F.min("place").alias("place"))
+    order = Window.partitionBy("lang").orderBy("place")
+    chosen = places.withColumn("rank", F.row_number().over(order)).where(f"rank <= {SAMPLE_DOCS}").select("lang", "place", "rank")
+    sample = parts.join(F.broadcast(chosen), ["lang", "place"]).groupBy("lang", "rank").agg(F.min("part").alias("part"))
     found: dict[str, list[bytes]] = {}
     for row in sample.orderBy("lang", "rank").toLocalIterator():
         found.setdefault(row.lang, []).append(letters(row.part)[:SAMPLE_BYTES])

@@ -263,6 +263,19 @@ def test_language_by_compression(spark, odd, none):
     assert {r.lang_pred for r in language.identified(odd, language.fit(none)).collect()} == {"und"}
 
 
+def test_copies_take_one_place_of_the_language_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 12)
+    texts = [prose(20) for _ in range(9)]
+    rows = [(text, "xx") for text in texts] + [(f"{text.upper()}!" if n % 2 else text, "xx") for text in texts for n in range(30)]
+    model = language.fit(spark.createDataFrame([(1, *r) for r in rows], "doc_id long, text string, lang string"))
+    content = model.contents[model.names.index("xx")]
+    assert all(content.count(language.letters(text)) == 1 for text in texts)
+    more = [prose(20) for _ in range(40)]
+    rows += [(text, "xx") for text in more]
+    content = language.fit(spark.createDataFrame([(1, *r) for r in rows], "doc_id long, text string, lang string")).contents[0]
+    assert sum(content.count(language.letters(text)) for text in texts + more) == 12
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     import corpus_pipeline
 
