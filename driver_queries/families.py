@@ -211,9 +211,7 @@ def family_ablation(spark, folder):
     base = stage(assembly.base_table(tables))
     families = {f: stage(t) for f, t in assembly.family_tables(tables).items()}
     settings = BoostSettings(rounds=2, depth=2, bins=16, min_rows=10, step=0.3)
-    return ablation(
-        base, families, assembly.ablation_choices(), assembly.assemble, folds=2, settings=settings
-    )
+    return ablation(base, families, assembly.ablation_choices(), assembly.assemble, settings=settings)
 
 
 @query()

@@ -1,0 +1,19 @@
+"""The registered ablation trains on all of the default folds."""
+
+import inspect
+
+from driver_queries import families
+from tallyloom.operators.evaluate import kfold_boosted_trees
+
+
+def test_ablation_query_keeps_the_default_folds(monkeypatch):
+    given = {}
+    monkeypatch.setattr(families, "all_tables", lambda spark, folder: None)
+    monkeypatch.setattr(families, "stage", lambda table: table)
+    monkeypatch.setattr(families.assembly, "base_table", lambda tables: None)
+    monkeypatch.setattr(families.assembly, "family_tables", lambda tables: {})
+    monkeypatch.setattr(families, "ablation", lambda *args, **options: given.update(options))
+    families.family_ablation(None, None)
+    bound = inspect.signature(kfold_boosted_trees).bind(None, **given)
+    bound.apply_defaults()
+    assert bound.arguments["folds"] == 5
