@@ -173,7 +173,8 @@ def neighbours(vectors: DataFrame, queries: str, k: int = 10) -> DataFrame:
     sample = _matrix(chosen.column(0).combine_chunks(), common["size"]) if chosen.num_rows else np.zeros((0, common["size"]))
     tree = calibrated(grown(sample), np.unique(sample, axis=0), k)
 
-    ranked = usable.withColumn("place", F.expr("row_number() over (partition by vector order by vec_id)")).where(f"place <= {k + 1}")
+    once = usable.dropDuplicates(["vec_id", "vector"])  # the rank counts ids, not rows
+    ranked = once.withColumn("place", F.expr("row_number() over (partition by vector order by vec_id)")).where(f"place <= {k + 1}")
     candidates = written(map_batches(ranked.select("vec_id", "vector"), partial(_leaf_batch, tree=tree), "vec_id long, vector array<double>, leaf long"))
     asked = usable.where(queries).dropDuplicates(["vec_id", "vector"])
     visits = written(map_batches(asked, partial(_visit_batch, tree=tree), "query_id long, query array<double>, leaf long"))
@@ -189,6 +190,6 @@ def neighbours(vectors: DataFrame, queries: str, k: int = 10) -> DataFrame:
         "leaf", "cast(pmod(xxhash64(query_id), qs) as int) as q", "explode(sequence(0, cs - 1)) as c", "query_id", "query"
     )
     near = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(partial(_nearest, k=k), "query_id long, vec_id long, score double")
-    once = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    best = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = "row_number() over (partition by query_id order by score, vec_id)"
-    return once.withColumn("rank", F.expr(order)).where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", F.expr(order)).where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")

@@ -249,6 +249,12 @@ def test_neighbours_reach_recall_and_survive_odd_vectors(spark):
     assert neighbours.neighbours(spark.createDataFrame([], "vec_id long, embedding array<float>"), "true").count() == 0
 
 
+def test_a_repeated_id_takes_one_place_among_equal_vectors(spark):
+    rows = [(1, [1.0, 2.0])] * 15 + [(i, [1.0, 2.0]) for i in (2, 3, 4)] + [(i, [float(i), -1.0]) for i in range(50, 90)] + [(100, [1.0, 2.0])]
+    got = neighbours.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id = 100").collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)][:4] == [(i, 0.0) for i in (1, 2, 3, 4)]
+
+
 def test_language_by_compression(spark, odd, none):
     words = [a + b for a, b in zip(WORDS, WORDS[1:], strict=False)]  # long enough for a compressor's shortest match
     other = [w[::-1] + "ö" for w in words]
