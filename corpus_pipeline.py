@@ -60,7 +60,7 @@ STAGES = [
     ("benchmark", without_benchmark),
     ("packing", into_sequences),
 ]
-#: SQL expresses neither the classifiers nor the tokenizer; tests compare each stage with a brute-force version.
+#: SQL expresses neither the classifiers nor the tokenizer; tests see columns, subsets and empty input of the first four stages.
 ORACLE_SQL = None
 
 
