@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import language, licenses, pages, quality, toxicity
 from tallyloom.llm.common import held_out_sql
 from tallyloom.llm.decontamination import leaks, leaks_sql
+from tallyloom.llm.divergence import audited, audited_sql
 from tallyloom.llm.near_duplicates import near_duplicates, near_duplicates_sql
 from tallyloom.llm.neighbours import neighbours
 from tallyloom.llm.packing import pack_documents
@@ -127,3 +128,11 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit(docs.where(f"not {held_out_sql('doc_id', 5, 0)}"))
     found = language.identified(docs, model)
     return with_held_out(found, 5, 0).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audited(table(spark, folder, "documents"))
+
+
+ORACLES["op13_divergence"] = audited_sql()
