@@ -15,6 +15,7 @@ from tallyloom.llm.near_duplicates import near_duplicates, near_duplicates_sql
 from tallyloom.llm.neighbours import neighbours
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.sharding import shard_documents, shard_sql
+from tallyloom.llm.spelling import grouped, grouped_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,6 +131,14 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return with_held_out(found, 5, 0).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return grouped(table(spark, folder, "documents"))
+
+
+ORACLES["op12_spelling"] = grouped_sql()
+
+
 @query
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return audited(table(spark, folder, "documents"))
