@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import language, licenses, pages, quality, toxicity
+from tallyloom.llm import interpolation, language, licenses, pages, quality, toxicity
 from tallyloom.llm.common import held_out_sql
 from tallyloom.llm.decontamination import leaks, leaks_sql
 from tallyloom.llm.divergence import audited, audited_sql
@@ -131,6 +131,11 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return with_held_out(found, 5, 0).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query
+def op11_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolation.scored(table(spark, folder, "documents"))
+
+
 @query
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return grouped(table(spark, folder, "documents"))
