@@ -16,21 +16,23 @@ _own_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; an own one only where it names none (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir; an own one only on a local master that names none (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = tempfile.mkdtemp(prefix="tallyloom-llm-")
     return _own_folder[app]
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: lineage is cut, and lost executors cost no recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

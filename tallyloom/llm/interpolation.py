@@ -46,6 +46,30 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), _END]
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Whole numbers from 0, in as many bytes each as the largest one needs; the first byte says how many."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(counts) or counts.max() < 1 << 8 * w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as steps from one to the next, all first bytes before all second ones, so that empty high bytes compress."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 class _Words(dict):
     def __missing__(self, word):
         self[word] = number = len(self)
@@ -82,13 +106,12 @@ _BLOCK = pa.schema(
         ("held", pa.list_(pa.bool_())),
         ("lengths", pa.list_(pa.int32())),
         ("ids", pa.binary()),
-        ("hashes", pa.binary()),
         ("words", pa.list_(pa.binary())),
     ]
 )
 _BLOCK_SQL = (
     "block long, development boolean, tokens long, trained long, doc_ids array<long>, held array<boolean>, lengths array<int>, "
-    "ids binary, hashes binary, words array<binary>"
+    "ids binary, words array<binary>"
 )
 
 
@@ -100,8 +123,7 @@ def _closed(open_block: _Open, block: int, development: bool) -> pa.RecordBatch:
     ids = place[np.concatenate(open_block.ids)]
     lengths = [len(i) for i in open_block.ids]
     trained = sum(n for n, held in zip(lengths, open_block.held, strict=True) if not held)
-    hashes = np.array([h for h, _ in words], "<u8")
-    row = (block, development, len(ids), trained, open_block.doc_ids, open_block.held, lengths, ids.tobytes(), hashes.tobytes(), [w for _, w in words])
+    row = (block, development, len(ids), trained, open_block.doc_ids, open_block.held, lengths, ids.tobytes(), [w for _, w in words])
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
 
 
@@ -168,7 +190,7 @@ def _request_rows(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> I
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-            ids, hashes = np.frombuffer(row["ids"], "<i4"), np.frombuffer(row["hashes"], "<u8")
+            ids, hashes = np.frombuffer(row["ids"], "<i4"), _hashes(row["words"])
             trained = np.repeat(~np.array(row["held"], bool), row["lengths"])
             asked = [(hashes, np.bincount(ids, trained, len(hashes)))]
             for keys in ngram_keys(ids, _first(row["lengths"]), hashes, order):
@@ -186,8 +208,8 @@ def _request_rows(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> I
                         [row["block"]] * len(some),
                         [row["development"]] * len(some),
                         [row["words"][a:b] if n == 1 else [] for a, b in some],
-                        [keys[a:b].astype("<u8").tobytes() if n > 1 else b"" for a, b in some],
-                        [counts[a:b].astype("<i8").tobytes() for a, b in some],
+                        [packed_keys(keys[a:b]) if n > 1 else b"" for a, b in some],
+                        [packed(counts[a:b]) for a, b in some],
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _REQUEST, strict=True)], schema=_REQUEST)
 
@@ -198,14 +220,14 @@ _ANSWER_SQL = "order int, range long, block long, every binary, kept binary, wor
 def _answers(table: pa.Table) -> pa.Table:
     """Adds up one range: a row for each block that asked, and a row for no block with the numbers of different words."""
     order, at = table.column("order")[0].as_py(), table.column("range")[0].as_py()
-    given = [np.frombuffer(c.as_py(), "<i8") for c in table.column("counts")]
+    given = [unpacked(c.as_py()) for c in table.column("counts")]
     if order == 1:
         words = table.column("words").combine_chunks().flatten().dictionary_encode()
         if isinstance(words, pa.ChunkedArray):
             words = words.combine_chunks()
         member, size = words.indices.to_numpy(), len(words.dictionary)
     else:
-        keys, member = np.unique(np.concatenate([np.frombuffer(c.as_py(), "<u8") for c in table.column("keys")]), return_inverse=True)
+        keys, member = np.unique(np.concatenate([unpacked_keys(c.as_py()) for c in table.column("keys")]), return_inverse=True)
         size = len(keys)
     sizes = [len(g) for g in given]
     counts = np.concatenate(given)
@@ -220,7 +242,7 @@ def _answers(table: pa.Table) -> pa.Table:
     if order == 1:
         rows.append((order, at, None, None, None, int((every > 0).sum()), int((kept > 0).sum())))
     columns = [list(c) for c in zip(*rows, strict=True)]
-    columns[3:5] = [[None if v is None else v.astype("<i8").tobytes() for v in c] for c in columns[3:5]]
+    columns[3:5] = [[None if v is None else packed(v) for v in c] for c in columns[3:5]]
     kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[p.split()[0] for p in _ANSWER_SQL.split(", ")])
 
@@ -231,14 +253,14 @@ def answers(table: DataFrame, order: int, tokens: int, size: int = RANGE) -> Dat
     Ranges take some ``size`` requests each. Rows without a block hold the numbers of different words of their range.
     """
     bits = ceil(log2(max(1, order * tokens / size)))
-    asked = table.select("block", "development", "held", "lengths", "ids", "hashes", "words").mapInArrow(partial(_request_rows, order=order, bits=bits), _REQUEST_SQL)
+    asked = table.select("block", "development", "held", "lengths", "ids", "words").mapInArrow(partial(_request_rows, order=order, bits=bits), _REQUEST_SQL)
     return asked.groupBy("order", "range").applyInArrow(_answers, _ANSWER_SQL)
 
 
 def answered(table: DataFrame, found: DataFrame, counts: str) -> DataFrame:
     """Blocks with their answers from the column ``counts``, in order."""
     lists = found.where("block is not null").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("order", "range", F.col(counts).alias("counts")))).alias("answers"))
-    return table.drop("words").join(lists.selectExpr("block", "answers.order as orders", "answers.counts as counts"), "block")
+    return table.join(lists.selectExpr("block", "answers.order as orders", "answers.counts as counts"), "block")
 
 
 @dataclass(frozen=True)
@@ -252,11 +274,11 @@ class Model:
 
 def _token_counts(row: dict, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each token, its n-gram's count for each order from 1, and its context's for each order from 2."""
-    ids, hashes, first = np.frombuffer(row["ids"], "<i4"), np.frombuffer(row["hashes"], "<u8"), _first(row["lengths"])
+    ids, hashes, first = np.frombuffer(row["ids"], "<i4"), _hashes(row["words"]), _first(row["lengths"])
     given: dict[int, list[bytes]] = {}
     for n, counts in zip(row["orders"], row["counts"], strict=True):
-        given.setdefault(n, []).append(counts)
-    given = {n: np.frombuffer(b"".join(parts), "<i8") for n, parts in given.items()}
+        given.setdefault(n, []).append(unpacked(counts))
+    given = {n: np.concatenate(parts) for n, parts in given.items()}
     seen = [given[1][ids]]
     for n, keys in enumerate(ngram_keys(ids, first, hashes, order), 2):
         seen.append(given[n][np.unique(keys, return_inverse=True)[1]])
@@ -361,10 +383,10 @@ def scored(docs: DataFrame, order: int = ORDER, block: int = BLOCK_TOKENS, span:
     stand there; other columns are ignored; without training documents the uniform estimate is all there is (score 0); no
     rows give no rows.
     """
-    table = written(blocks(docs, block))
+    table = written(blocks(docs, block), "zstd")
     total = table.agg(F.sum("tokens"), F.sum("trained"), F.sum(F.expr("if(development, 0, trained)"))).first()
     tokens, trained, kept = (n or 0 for n in total)
-    found = written(answers(table, order, tokens, span))
+    found = written(answers(table, order, tokens, span), "zstd")
     words, kept_words = (n or 0 for n in found.agg(F.sum("words"), F.sum("kept_words")).first())
     names = ", ".join(["bucket long", *(f"p{k} double" for k in range(order + 1)), "n long"])
     development = answered(table.where("development"), found.where("kept is not null"), "kept")

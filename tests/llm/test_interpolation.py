@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 from zlib import crc32
 
+import numpy as np
 import pytest
 
 from tallyloom.llm import interpolation
@@ -103,6 +104,16 @@ def test_scores_equal_plain_loops(spark, order, block, span):
     assert sum(r[6] for r in held) > sum(r[5] for r in held)  # contexts help
 
 
+def test_packing_is_a_round_trip():
+    random = np.random.default_rng(1)
+    for size in (0, 1, 5, 1000):
+        keys = np.unique(random.integers(0, 1 << 64, size, np.uint64))
+        assert np.array_equal(interpolation.unpacked_keys(interpolation.packed_keys(keys)), keys)
+        for most in (1, 300, 1 << 20, 1 << 40):
+            counts = random.integers(0, most, size)
+            assert np.array_equal(interpolation.unpacked(interpolation.packed(counts)), counts)
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert interpolation.scored(none).count() == 0
