@@ -117,13 +117,14 @@ _BLOCK_SQL = (
 
 def _closed(open_block: _Open, block: int, development: bool) -> pa.RecordBatch:
     """The block as a row; its words in order of hash, and its tokens as places in that order."""
-    words = sorted((xxhash.xxh3_64_intdigest(w), w) for w in open_block.words)
+    words = list(open_block.words)
+    order = np.argsort(_hashes(words), kind="stable")
     place = np.empty(len(words), "<i4")
-    place[np.fromiter((open_block.words[w] for _, w in words), np.int64, len(words))] = np.arange(len(words))
+    place[order] = np.arange(len(words))
     ids = place[np.concatenate(open_block.ids)]
     lengths = [len(i) for i in open_block.ids]
     trained = sum(n for n, held in zip(lengths, open_block.held, strict=True) if not held)
-    row = (block, development, len(ids), trained, open_block.doc_ids, open_block.held, lengths, ids.tobytes(), [w for _, w in words])
+    row = (block, development, len(ids), trained, open_block.doc_ids, open_block.held, lengths, ids.tobytes(), [words[i] for i in order.tolist()])
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
 
 
