@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import language, quality
-from tallyloom.llm.common import held_out_sql, written
+from tallyloom.llm.common import free_names, held_out_sql, written
 from tallyloom.llm.decontamination import leaks
 from tallyloom.llm.near_duplicates import near_duplicates
 from tallyloom.llm.packing import pack_documents
@@ -14,20 +14,22 @@ from tallyloom.llm.queries import learnable, table, tokenizer_path
 
 #: Documents below this quality score are rejected.
 QUALITY = 0.3
-#: Words that the tokenizing workers remember; fewer than packing alone may, as workers keep what earlier stages loaded.
+#: Words that a tokenizing task remembers; fewer than packing alone may, as workers keep what earlier stages loaded.
 REMEMBERED = 100_000
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; a null text is judged like an empty one, a null id like others."""
     model = quality.fit(docs, learnable(table(spark, sf_dir, "labels"), "quality", 5, 0))
-    return quality.scored(docs, model, docs.columns).where(f"score >= {QUALITY}").select(*docs.columns)
+    score = free_names(docs.columns, ["score"])["score"]
+    return quality.scored(docs, model, docs.columns).where(F.col(score) >= QUALITY).select(*docs.columns)
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear."""
+    """Documents whose language is clear; null texts and those without a letter go."""
     model = language.fit(docs.where(f"not {held_out_sql('doc_id', 5, 0)}"))
-    return language.identified(docs, model, docs.columns).where("not rejected").select(*docs.columns)
+    rejected = free_names(docs.columns, ["lang_pred", "score", "rejected"])["rejected"]
+    return language.identified(docs, model, docs.columns).where(~F.col(rejected)).select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

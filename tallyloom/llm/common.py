@@ -36,14 +36,21 @@ def written(df: DataFrame, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows that become Python objects at once.
-ROWS_AT_ONCE = 1_000
+#: Rows and bytes that become Python objects at once; a single row may be longer.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1_000, 4 << 20
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of bounded rows and bytes; memory that Arrow keeps for later goes back at the end."""
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
+        start, rows = 0, ROWS_AT_ONCE
+        while start < batch.num_rows:
+            part = batch.slice(start, rows)
+            while part.num_rows > 1 and part.nbytes > BYTES_AT_ONCE:
+                part = part.slice(0, part.num_rows // 2)
+            yield part
+            start += part.num_rows
+    pa.default_memory_pool().release_unused()
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
@@ -53,7 +60,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dic
     out = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
+        for batch in parts(batches):
             for columns in function(batch):
                 arrays = [pa.array(columns[name], type=kind) for name, kind in zip(names, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out)
@@ -76,27 +83,39 @@ _ARROW = {
 _SPARK = {"double": DoubleType(), "string": StringType(), "boolean": BooleanType()}
 
 
+def free_names(columns: Sequence[str], names: Sequence[str]) -> dict[str, str]:
+    """``names``, with underscores where ``columns`` has one already (case ignored, as Spark does)."""
+    taken, out = {c.lower() for c in columns}, {}
+    for name in names:
+        out[name] = name
+        while out[name].lower() in taken:
+            out[name] += "_"
+        taken.add(out[name].lower())
+    return out
+
+
 def add_columns(
     docs: DataFrame, keep: Sequence[str], text: str, function: Callable[..., Iterator[dict]], schema: str
 ) -> DataFrame:
     """The columns ``keep`` of ``docs``, unchanged, and those of ``schema`` that ``function`` makes of each batch.
 
     The function gets the batch and, as ``text``, the place of the text column, which comes last; columns of ``docs``
-    that are not in ``keep`` are not read. A name in ``schema`` must not be in ``keep``.
+    that are not in ``keep`` are not read. A new column that clashes with one of ``keep`` is named by ``free_names``.
     """
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
     names = [part.split()[0] for part in schema.split(", ")]
     kinds = [_ARROW[part.split(" ", 1)[1]] for part in schema.split(", ")]
     width = len(keep)
+    called = free_names(keep, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
+        for batch in parts(batches):
             for columns in function(batch, text=width):
                 made = [pa.array(columns[name], type=kind) for name, kind in zip(names, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=[*batch.schema.names[:width], *names])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=[*batch.schema.names[:width], *called.values()])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
-    fields = [StructField(part.split()[0], _SPARK[part.split(" ", 1)[1]]) for part in schema.split(", ")]
+    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias(free_names(keep, ["__text"])["__text"]))
+    fields = [StructField(called[part.split()[0]], _SPARK[part.split(" ", 1)[1]]) for part in schema.split(", ")]
     return source.mapInArrow(run, StructType([*kept.schema.fields, *fields]))
 
 

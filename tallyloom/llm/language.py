@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import add_columns
+from tallyloom.llm.common import add_columns, written
 
 #: At most so many documents of a language are learned from, and so many bytes from each and for each dictionary.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 2_000, 110_000
@@ -49,7 +49,11 @@ def fit(docs: DataFrame) -> Languages:
     parts = known.withColumn("part", F.expr(f"substring(text, greatest(1, length(text) div 2 - {SAMPLE_BYTES // 2}), {SAMPLE_BYTES})"))
     plain = F.trim(F.regexp_replace(F.lower("part"), r"[^\p{L}\p{Nl}\p{No}]+", " "))
     # only hashes are made distinct and ranked; the chosen parts, of a bounded number, are fetched afterwards
-    places = parts.groupBy("lang", F.xxhash64(plain).alias("letters")).agg(F.min("place").alias("place"))
+    places = written(parts.groupBy("lang", F.xxhash64(plain).alias("letters")).agg(F.min("place").alias("place")))
+    # hashes are spread evenly: those below a bound hold the smallest ones of each language, and are few for any number of documents
+    bound = f"{-(2.0**63)!r}d + {2.0**64!r}d * {4 * SAMPLE_DOCS} / n"
+    known_sizes = places.groupBy("lang").agg(F.count("*").alias("n"))
+    places = places.join(known_sizes, "lang").where(f"n <= {4 * SAMPLE_DOCS} or cast(place as double) <= {bound}")
     order = Window.partitionBy("lang").orderBy("place")
     chosen = places.withColumn("rank", F.row_number().over(order)).where(f"rank <= {SAMPLE_DOCS}").select("lang", "place", "rank")
     sample = parts.join(F.broadcast(chosen), ["lang", "place"]).groupBy("lang", "rank").agg(F.min("part").alias("part"))
@@ -79,7 +83,7 @@ def _compressors(model: Languages) -> list[zstandard.ZstdCompressor]:
 def sizes(text: str | None, model: Languages) -> np.ndarray | None:
     """Compressed size of the whole text under each language; None without letters."""
     plain = letters(text)
-    if not plain:
+    if not plain or not any(map(str.isalpha, text)):
         return None
     cut = [plain[i : i + PART] for i in range(0, len(plain), PART)]
     return np.array([sum(len(c.compress(p)) for p in cut) for c in _compressors(model)], float)

@@ -9,89 +9,90 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache, partial
-from itertools import chain
+from functools import partial
+from itertools import chain, islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import map_batches, written
+from tallyloom.llm.common import parts, written
 
 #: Pieces packed by one task; every task leaves one sequence at most that lack of pieces keeps open.
 PIECES_PER_TASK = 65_536
-#: Words whose ids a Python worker remembers, at some 200 bytes each; other words are encoded again in each batch.
+#: Words whose ids a task remembers, at some 200 bytes each; other words are encoded again in each batch.
 REMEMBERED_WORDS = 1_000_000
 #: Words encoded at once; a word's encoding takes far more memory than its ids.
 WORDS_AT_ONCE = 4_096
 #: Python splits text at these controls, the tokenizers do not.
 _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 
-_remembered: dict[str, dict[str, bytes]] = defaultdict(dict)
 
+class Encoder:
+    """A tokenizer with the ids of words that it met; one for each task, so that workers keep neither for later ones."""
 
-@lru_cache(maxsize=4)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+    def __init__(self, path: str, remembered: int = REMEMBERED_WORDS) -> None:
+        from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+        self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
+        self.known: dict[str, bytes] = {}
 
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-def _ids(encodings) -> list[bytes]:
-    return [np.array(e.ids, "<u4").tobytes() for e in encodings]
+    def token_bytes(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers (null: no ids).
 
+        The tokenizer must drop white space and never join what it separates, so equal words have equal ids
+        wherever they stand and need encoding once; a text with unusual controls is encoded as a whole.
+        """
+        whole = {i: t for i, t in enumerate(texts) if t and any(c in t for c in _ODD_SPACES)}
+        words = [t.split() if t and i not in whole else [] for i, t in enumerate(texts)]
+        new = list(set(chain.from_iterable(words)).difference(self.known))
+        fresh: dict[str, bytes] = {}
+        for start in range(0, len(new), WORDS_AT_ONCE):
+            part = new[start : start + WORDS_AT_ONCE]
+            fresh.update(zip(part, self._encoded(part), strict=True))
+        room = self.remembered - len(self.known)
+        self.known.update(islice(fresh.items(), max(room, 0)))
+        if len(fresh) <= room:
+            look = self.known.__getitem__
+        else:
+            look = lambda word: self.known.get(word) or fresh.get(word, b"")
+        out = [b"".join(map(look, w)) for w in words]
+        for i, ids in zip(whole, self._encoded(list(whole.values())), strict=True):
+            out[i] = ids
+        return out
 
-def token_bytes(texts: list[str | None], path: str, remembered: int = REMEMBERED_WORDS) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers (null: no ids).
 
-    The tokenizer of ``path`` must drop white space and never join what it separates, so equal words have equal ids
-    wherever they stand and need encoding once; a text with unusual controls is encoded as a whole.
-    """
-    tokenizer, known = _tokenizer(path), _remembered[path]
-    whole = {i: t for i, t in enumerate(texts) if t and any(c in t for c in _ODD_SPACES)}
-    words = [t.split() if t and i not in whole else [] for i, t in enumerate(texts)]
-    new = list(set(chain.from_iterable(words)).difference(known))
-    fresh: dict[str, bytes] = {}
-    for start in range(0, len(new), WORDS_AT_ONCE):
-        part = new[start : start + WORDS_AT_ONCE]
-        fresh.update(zip(part, _ids(tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-    if len(known) < remembered:
-        known.update(fresh)
-        look = known.__getitem__
-    else:
-        look = lambda word: known.get(word) or fresh.get(word, b"")
-    out = [b"".join(map(look, w)) for w in words]
-    for i, ids in zip(whole, _ids(tokenizer.encode_batch_fast(list(whole.values()), add_special_tokens=False)), strict=True):
-        out[i] = ids
-    return out
-
-
-def _piece_batch(batch: pa.RecordBatch, path: str, end_id: int, length: int, remembered: int) -> Iterator[dict]:
+_PIECES = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+_PIECES_SQL = "doc_id long, piece int, start long, length long, ids_crc32 long"
+
+
+def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: int, remembered: int) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(path, remembered)
     end = np.array([end_id], "<u4").tobytes()
-    for first in range(0, batch.num_rows, 500):
-        rows: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        texts = batch.column(1).slice(first, 500).to_pylist()
-        for doc_id, ids in zip(batch.column(0).slice(first, 500).to_pylist(), token_bytes(texts, path, remembered), strict=True):
+    for batch in parts(batches):
+        rows: list[list] = [[] for _ in _PIECES]
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.token_bytes(batch.column(1).to_pylist()), strict=True):
             ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * length)):
                 cut = ids[at : at + 4 * length]
-                for name, value in zip(rows, (doc_id, piece, at // 4, len(cut) // 4, zlib.crc32(cut)), strict=True):
-                    rows[name].append(value)
-        yield rows
+                for column, value in zip(rows, (doc_id, piece, at // 4, len(cut) // 4, zlib.crc32(cut)), strict=True):
+                    column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(rows, _PIECES, strict=True)], schema=pa.schema(_PIECES))
 
 
 def pieces(
     docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096, remembered: int = REMEMBERED_WORDS
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids with ``end_id`` after them, cut only if longer."""
-    return map_batches(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-        partial(_piece_batch, path=tokenizer_path, end_id=end_id, length=length, remembered=remembered),
-        "doc_id long, piece int, start long, length long, ids_crc32 long",
-    )
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    step = partial(_piece_batches, path=tokenizer_path, end_id=end_id, length=length, remembered=remembered)
+    return texts.mapInArrow(step, _PIECES_SQL)
 
 
 def _best_pair(counts: np.ndarray, room: int) -> tuple[int, int, int]:
@@ -146,18 +147,19 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _packed(frames: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(frames) or [pd.DataFrame()], ignore_index=True)
-    if rows.empty:
+def _packed(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.RecordBatch]:
+    held = list(batches)
+    if not held:
         return
-    rows = rows.sort_values(["length", "ids_crc32", "doc_id", "piece"], kind="stable", ignore_index=True)
+    rows = pa.Table.from_batches(held).sort_by([(c, "ascending") for c in ("length", "ids_crc32", "doc_id", "piece")])
     base = TaskContext.get().partitionId() << 32
-    sizes = rows["length"].to_numpy()
-    sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+    sizes = rows.column("length").to_numpy()
+    sequence, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     for number, members in enumerate(best_two_fit(sizes, capacity)):
         sequence[members] = base + number
         offset[members] = np.concatenate(([0], np.cumsum(sizes[members])[:-1]))
-    yield rows.assign(sequence_id=sequence, offset=offset)
+    rows = rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+    yield from rows.to_batches(max_chunksize=10_000)
 
 
 def packed(table: DataFrame, capacity: int = 4096) -> DataFrame:
@@ -167,10 +169,7 @@ def packed(table: DataFrame, capacity: int = 4096) -> DataFrame:
     its own; so memory is bounded and no key is crowded. Offsets have no gaps from 0.
     """
     tasks = max(1, -(-table.count() // PIECES_PER_TASK))
-    return table.repartition(tasks).mapInPandas(
-        partial(_packed, capacity=capacity),
-        "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
-    )
+    return table.repartition(tasks).mapInArrow(partial(_packed, capacity=capacity), f"{_PIECES_SQL}, sequence_id long, offset long")
 
 
 def pack_documents(
