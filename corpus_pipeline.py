@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import language, quality
-from tallyloom.llm.common import free_names, held_out_sql, written
+from tallyloom.llm.common import free_names, held_out_sql, short_batches, written
 from tallyloom.llm.decontamination import leaks
 from tallyloom.llm.near_duplicates import near_duplicates
 from tallyloom.llm.packing import pack_documents
@@ -55,14 +57,25 @@ def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pack_documents(docs, tokenizer_path(), end_id=1, length=4096, remembered=REMEMBERED)
 
 
+def _in_short_batches(stage):
+    """The stage in a session that sends workers few rows at once; the setting stays, as the caller runs what the stage returns."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        short_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality", by_quality),
-    ("language", by_language),
-    ("near copies", without_near_copies),
-    ("benchmark", without_benchmark),
-    ("packing", into_sequences),
+    ("quality", _in_short_batches(by_quality)),
+    ("language", _in_short_batches(by_language)),
+    ("near copies", _in_short_batches(without_near_copies)),
+    ("benchmark", _in_short_batches(without_benchmark)),
+    ("packing", _in_short_batches(into_sequences)),
 ]
-#: SQL expresses neither the classifiers nor the tokenizer; tests see columns, subsets and empty input of the first four stages.
+#: SQL expresses neither the classifiers nor the tokenizer; tests compare every stage with a plain version.
 ORACLE_SQL = None
 
 

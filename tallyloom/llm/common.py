@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -50,7 +51,22 @@ def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = part.slice(0, part.num_rows // 2)
             yield part
             start += part.num_rows
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, as a worker is kept for later tasks; where the C library has no such call, Arrow's part only."""
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def short_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Sets the session to send workers at most so many rows at once: long texts make Spark's 10,000 rows a large batch on both sides."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, rows + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import parts, written
+from tallyloom.llm.common import give_back, parts, written
 
 #: Pieces packed by one task; every task leaves one sequence at most that lack of pieces keeps open.
 PIECES_PER_TASK = 65_536
@@ -84,6 +84,8 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, le
                 for column, value in zip(rows, (doc_id, piece, at // 4, len(cut) // 4, zlib.crc32(cut)), strict=True):
                     column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(rows, _PIECES, strict=True)], schema=pa.schema(_PIECES))
+    del encoder
+    give_back()
 
 
 def pieces(
