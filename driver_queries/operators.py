@@ -21,7 +21,8 @@ from tallyloom.operators.aggregate import (
     size_expr,
     with_exprs,
 )
-from tallyloom.operators.encode import factorize, label_encode_binary, one_hot
+from tallyloom.operators.encode import factorize, label_encode_binary, one_hot, sparse_indicators
+from tallyloom.operators.matrix import correlation_matrix
 from tallyloom.operators.score import ScoreTerm, with_scores
 from tallyloom.operators.staging import shared_folder
 from tallyloom.plans.application import filled_with_mean
@@ -727,6 +728,72 @@ def kde_scott(spark, folder):
     return profile.class_density(_labelled_documents(spark, folder), "n_chars", "quality", _POINTS)
 
 
+_CELLS = [(100.0 + 5.0 * i) for i in range(601)]
+
+
+@query(
+    f"""WITH placed AS (SELECT quality, (n_chars - 100e0) / 0.625e0 AS a FROM {_DOCS_SQL}),
+    cells AS (SELECT quality, floor(a) AS b, 1 - (a - floor(a)) AS w FROM placed UNION ALL SELECT quality, floor(a) + 1, a - floor(a) FROM placed),
+    bins AS (SELECT quality, b, sum(w) AS w FROM cells GROUP BY ALL),
+    totals AS (SELECT quality, count(*) AS n FROM placed GROUP BY ALL)
+    SELECT bins.quality, point, sum(w * exp(-0.5e0 * pow((point - 100e0 - b * 0.625e0) / 150e0, 2))) / (any_value(n) * 150e0 * sqrt(2 * pi())) AS density
+    FROM bins JOIN totals USING (quality), (SELECT CAST(unnest({_CELLS}) AS DOUBLE) AS point) GROUP BY ALL""",
+    {"density": 12},
+)
+def kde_large_grid(spark, folder):
+    return profile.class_density_grid(_labelled_documents(spark, folder), "n_chars", "quality", 100.0, 3100.0, 601, 150.0)
+
+
+_MEASURES = {
+    "orderkey": "l_orderkey", "partkey": "l_partkey", "suppkey": "l_suppkey", "line": "l_linenumber", "quantity": "l_quantity",
+    "price": "l_extendedprice", "discount": "nullif(l_discount, 0)", "tax": "nullif(l_tax, 0.08)",
+    "unit": "CASE WHEN l_linenumber < 5 THEN l_extendedprice / l_quantity END", "part_line": "CASE WHEN l_quantity > 10 THEN l_partkey * l_linenumber END",
+}
+_MEASURED = [f"CAST({text} AS DOUBLE) AS {name}" for name, text in _MEASURES.items()]
+
+
+@query(
+    f"WITH m AS (SELECT {', '.join(_MEASURED)} FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS pairs, corr({a}, {b}) AS corr FROM m"
+        for i, a in enumerate(_MEASURES)
+        for b in list(_MEASURES)[i + 1 :]
+    ),
+    {"corr": 9},
+)
+def corr_matrix(spark, folder):
+    return correlation_matrix(read(spark, folder, "lineitem").selectExpr(*_MEASURED), list(_MEASURES))
+
+
+@query(
+    """WITH p AS (SELECT p_partkey, p_name, CASE WHEN p_size % 7 > 0 THEN p_type END AS kind FROM part),
+    sizes AS (SELECT count(DISTINCT p_name) AS names, count(DISTINCT kind) AS kinds FROM p)
+    SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS name_place,
+      names + 1 + CASE WHEN kind IS NULL THEN kinds ELSE dense_rank() OVER (ORDER BY kind NULLS LAST) - 1 END AS kind_place, names + kinds + 2 AS width
+    FROM p, sizes"""
+)
+def wide_indicators(spark, folder):
+    """Names of parts, one indicator each, however many there are."""
+    part = read(spark, folder, "part").selectExpr("p_partkey", "p_name", "CASE WHEN p_size % 7 > 0 THEN p_type END AS kind")
+    placed, width = sparse_indicators(part, ["p_name", "kind"])
+    return placed.selectExpr("p_partkey", "indicators[0] AS name_place", "indicators[1] AS kind_place", f"{width}L AS width")
+
+
+@query(
+    """SELECT l_returnflag AS feature, CAST(sum(l_linenumber) AS DOUBLE) AS importance, l_linenumber AS fold FROM lineitem
+    GROUP BY l_returnflag, l_linenumber HAVING l_returnflag IN (SELECT f FROM (SELECT l_returnflag AS f, sum(l_linenumber) AS s, l_linenumber FROM lineitem
+      GROUP BY ALL) GROUP BY f ORDER BY avg(s) DESC, f LIMIT 2)"""
+)
+def importance_sink(spark, folder):
+    """Rows by feature and fold are kept under a name, read back, and those of the two leading features written as a file."""
+    rows = read(spark, folder, "lineitem").groupBy("l_returnflag", "l_linenumber").agg(F.sum("l_linenumber").cast("double").alias("importance"))
+    path = _fresh_path(spark, "importance")
+    tables.write_cached(rows.selectExpr("l_returnflag AS feature", "importance", "int(l_linenumber) AS fold"), path, "all")
+    kept = tables.read_cached(spark, path, "all")
+    tables.write_importances(kept, E.leading_features(kept, 2), f"{path}/csv", f"{path}/best")
+    return tables.read_csv(spark, f"{path}/best", T.StructType([kept.schema["feature"], kept.schema["importance"], kept.schema["fold"]]))
+
+
 @query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority")
 def value_counts(spark, folder):
     return profile.value_counts(read(spark, folder, "orders"), "o_orderpriority")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import quoted
 from tallyloom.functions.scalars import called, literal
 from tallyloom.functions.scalars import name as col_name
-from tallyloom.operators.joins import _N, attach
+from tallyloom.operators.joins import _N, attach, lookup
 from tallyloom.operators.ordered import with_prefix_sum
 from tallyloom.operators.schema import string_columns
 from tallyloom.operators.staging import stage
@@ -135,3 +135,38 @@ def label_encode_binary(
         return df.withColumns({c: e for c, e in codes.items() if c in df.columns})
 
     return encode(train), [encode(o) for o in others], list(chosen)
+
+
+def value_index(df: DataFrame, column: str) -> DataFrame:
+    """value, position: each distinct present value with its rank from 0, for any number of values.
+
+    Values are sorted by ranges; a range's first rank is the number of values in earlier ranges, one row for each range.
+    """
+    values = df.select(quoted(column).cast("string").alias("value")).where("value IS NOT NULL").distinct()
+    ranged = stage(values.repartitionByRange("value").withColumn("__range", F.spark_partition_id()))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("__range").count().select("__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__first"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy("value")) - 1
+    placed = ranged.withColumn("__inside", inside).join(F.broadcast(starts), "__range")  # as many rows as ranges
+    return placed.select("value", (F.col("__first") + F.col("__inside")).alias("position"))
+
+
+def sparse_indicators(df: DataFrame, columns: Sequence[str], name: str = "indicators", nan_as_category: bool = True) -> tuple[DataFrame, int]:
+    """Add an array with the positions of the row's indicators, and return how many indicators there are in all.
+
+    The wide counterpart of ``one_hot``: a column may have any number of values, which are indexed by a distributed sort
+    and joined back with hot values dealt among tasks. A column's indicators follow those of the columns before it, in
+    order of value; with ``nan_as_category`` its last one stands for a missing value, else a missing value has none.
+    """
+    width, parts = 0, []
+    for number, column in enumerate(columns):
+        key = f"__value{number}"
+        index = stage(value_index(df, column))
+        size = index.count()
+        df = df.withColumn(key, quoted(column).cast("string"))
+        df = lookup(df, index.select(F.col("value").alias(key), (F.col("position") + width).alias(f"__place{number}")), key, "left").drop(key)
+        missing = str(width + size) if nan_as_category else "CAST(NULL AS BIGINT)"
+        parts.append(f"coalesce(__place{number}, {missing})")
+        width += size + (1 if nan_as_category else 0)
+    out = df.withColumn(name, F.expr(f"array_compact(array({', '.join(parts)}))"))
+    return out.drop(*[f"__place{i}" for i in range(len(parts))]), width

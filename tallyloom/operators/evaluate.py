@@ -6,28 +6,22 @@ partitioning nor row order. Metrics are exact and computed from score counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyloom.functions.columns import quoted
-from tallyloom.functions.scalars import ratio
 from tallyloom.functions.scalars import name as col_name
+from tallyloom.functions.scalars import ratio
+from tallyloom.operators.boosting import BoostSettings, Task, Trained, binned, gains, predicted, trained
 from tallyloom.operators.ordered import with_prefix_sum
-from tallyloom.operators.schema import feature_columns, scrambled, split_by_label
-from tallyloom.operators.staging import stage
+from tallyloom.operators.schema import feature_columns, scrambled
+from tallyloom.operators.staging import release, stage
 from tallyloom.plans.names import ID_AND_LABEL
 
-# stands for a missing feature value: trees can split it off below every real value
-MISSING_FEATURE = -1e15
-LARGE_FEATURE = 1e15
-
 
 def fold_of(key: Column, folds: int, seed: int) -> Column:
     """Fold 0..folds-1 of an integer key."""
@@ -65,124 +59,81 @@ def mean_by_key(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.avg(quoted(value).cast("double")).alias(name))
 
 
-def feature_vector(columns: Sequence[str]) -> Column:
-    """Dense vector; missing becomes a value below all others, infinities a large one."""
-    cells = []
-    for c in columns:
-        bounded = f"greatest(least(double({col_name(c)}), {LARGE_FEATURE!r}D), {-LARGE_FEATURE / 10!r}D)"
-        # greatest and least skip missing arguments, so missing is settled first
-        cells.append(f"IF({col_name(c)} IS NULL OR isnan({col_name(c)}), {MISSING_FEATURE!r}D, {bounded})")
-    return array_to_vector(F.expr(f"array({', '.join(cells)})"))
-
-
-@dataclass
-class BoostSettings:
-    rounds: int = 100
-    step: float = 0.1
-    depth: int = 5
-    bins: int = 64
-    row_sample: float = 0.8715623
-    column_sample: str = "0.9497036"
-    min_rows: int = 60
-    seed: int = 0
-    # stop when the held-out loss no longer improves by this much
-    tolerance: float = 0.001
-
-
 @dataclass
 class Evaluation:
     out_of_fold: DataFrame  # key, label, fold, prediction
-    scored: DataFrame | None  # key, fold, prediction for unlabelled rows
-    importances: DataFrame  # feature, importance, fold
+    scored: DataFrame  # key, fold, prediction for unlabelled rows
+    importances: DataFrame  # feature, importance (total gain), fold
     valid_auc: DataFrame  # fold, auc, ...
     train_auc: DataFrame
     overall_auc: DataFrame
     features: list[str] = field(default_factory=list)
+    models: list[Trained] = field(default_factory=list)
 
     def predictions(self, key: str) -> DataFrame:
         """Fold-averaged prediction per unlabelled row."""
         return mean_by_key(self.scored, key, "prediction", "TARGET")
 
 
-def kfold_boosted_trees(
+_IMPORTANCE = "feature string, importance double, fold int"
+
+
+def evaluate_choices(
     df: DataFrame,
+    choices: Mapping[str, Sequence[str]],
     key: str = "SK_ID_CURR",
     label: str = "TARGET",
     folds: int = 5,
     seed: int = 1001,
     settings: BoostSettings | None = None,
-    features: Sequence[str] | None = None,
-) -> Evaluation:
-    """Train one model per fold on the other folds, stopping early on the held-out one.
+) -> dict[str, Evaluation]:
+    """K-fold evaluation for each choice of feature columns, over one table of binned rows.
 
-    Rows with a label are trained and validated on, rows without one are scored by
-    every model. The assembled vectors are written once and read by all folds.
+    Every fold of every choice is a model; all train together and each stops by the AUC of its held-out fold. Rows with
+    a label are trained on and judged, rows without one are scored by all models of the choice, all in one scan.
     """
     s = settings or BoostSettings()
-    features = list(features or feature_columns(df, {*ID_AND_LABEL, key, label}))
-    table = stage(
-        assign_folds(df, key, folds, seed).select(
-            quoted(key).alias(key),
-            quoted(label).cast("double").alias(label),
-            "fold",
-            feature_vector(features).alias("features"),
-        )
-    )
-    labelled, unlabelled = split_by_label(table, label)
-    learner = GBTClassifier(
-        labelCol=label,
-        featuresCol="features",
-        maxIter=s.rounds,
-        stepSize=s.step,
-        maxDepth=s.depth,
-        maxBins=s.bins,
-        subsamplingRate=s.row_sample,
-        featureSubsetStrategy=s.column_sample,
-        minInstancesPerNode=s.min_rows,
-        seed=s.seed,
-        validationIndicatorCol="held_out",
-        validationTol=s.tolerance,
-    )
-    parts, scored, importance_rows = [], [], []
-    for fold in range(folds):
-        held_out = labelled.withColumn("held_out", F.col("fold") == fold)
-        model = learner.fit(held_out)
-
-        def predicted(rows: DataFrame, model=model) -> DataFrame:
-            out = model.transform(rows)
-            return out.withColumn("prediction", vector_to_array("probability")[1])
-
-        parts.append(
-            predicted(held_out).select(
-                key, label, F.lit(fold + 1).alias("model"), "held_out", "prediction"
-            )
+    features = list(dict.fromkeys(c for chosen in choices.values() for c in chosen))
+    place = {c: i for i, c in enumerate(features)}
+    table = stage(binned(assign_folds(df, key, folds, seed), key, label, "fold", features, s.bins))
+    tasks = [Task(name, fold, tuple(place[c] for c in chosen)) for name, chosen in choices.items() for fold in range(folds)]
+    models = trained(table, tasks, len(features), s, auc)
+    judged = stage(predicted(table, models, len(features), s))
+    release(table)
+    known = judged.where("label IS NOT NULL")
+    by_fold = stage(auc(known, "label", "prediction", ["model", "held_out"]))
+    out = {}
+    for number, (name, chosen) in enumerate(choices.items()):
+        first = number * folds
+        mine = judged.where(f"model BETWEEN {first} AND {first + folds - 1}").withColumn("fold", F.expr(f"model - {first - 1}"))
+        valid = mine.where("held_out").selectExpr(f"__key AS {col_name(key)}", f"label AS {col_name(label)}", "fold", "prediction")
+        areas = by_fold.where(f"model BETWEEN {first} AND {first + folds - 1}").selectExpr(f"model - {first - 1} AS fold", "held_out", "auc", "positives", "negatives")
+        rows = [(feature, gain, fold + 1) for fold in range(folds) for feature, gain in gains(models[first + fold], features)]
+        out[name] = Evaluation(
+            out_of_fold=valid,
+            scored=mine.where("label IS NULL").selectExpr(f"__key AS {col_name(key)}", "fold", "prediction"),
+            importances=df.sparkSession.createDataFrame(rows, _IMPORTANCE),
+            valid_auc=areas.where("held_out").drop("held_out"),
+            train_auc=areas.where("NOT held_out").drop("held_out"),
+            overall_auc=auc(valid, label, "prediction"),
+            features=list(chosen),
+            models=models[first : first + folds],
         )
-        scored.append(predicted(unlabelled).select(key, F.lit(fold + 1).alias("fold"), "prediction"))
-        weights = model.featureImportances.toArray()
-        importance_rows += [(f, float(w), fold + 1) for f, w in zip(features, weights)]
-
-    judged = stage(reduce(DataFrame.unionByName, parts))
-    valid = judged.filter("held_out").withColumnRenamed("model", "fold").drop("held_out")
-    train = judged.filter("not held_out").withColumnRenamed("model", "fold").drop("held_out")
-    importances = df.sparkSession.createDataFrame(
-        importance_rows,
-        T.StructType(
-            [
-                T.StructField("feature", T.StringType()),
-                T.StructField("importance", T.DoubleType()),
-                T.StructField("fold", T.IntegerType()),
-            ]
-        ),
-    )
-    return Evaluation(
-        out_of_fold=valid,
-        scored=reduce(DataFrame.unionByName, scored),
-        importances=importances,
-        valid_auc=auc(valid, label, "prediction", ["fold"]),
-        train_auc=auc(train, label, "prediction", ["fold"]),
-        overall_auc=auc(valid, label, "prediction"),
-        features=features,
-    )
+    return out
+
+
+def kfold_boosted_trees(
+    df: DataFrame,
+    key: str = "SK_ID_CURR",
+    label: str = "TARGET",
+    folds: int = 5,
+    seed: int = 1001,
+    settings: BoostSettings | None = None,
+    features: Sequence[str] | None = None,
+) -> Evaluation:
+    """One model per fold, trained on the other folds; see ``evaluate_choices``."""
+    chosen = list(features or feature_columns(df, {*ID_AND_LABEL, key, label}))
+    return evaluate_choices(df, {"all": chosen}, key, label, folds, seed, settings)["all"]
 
 
 def leading_features(importances: DataFrame, n: int = 40) -> DataFrame:
@@ -192,17 +143,34 @@ def leading_features(importances: DataFrame, n: int = 40) -> DataFrame:
     return importances.join(F.broadcast(top), "feature", "left_semi")  # n rows
 
 
+def choice_features(
+    base: DataFrame, families: Mapping[str, DataFrame], choices: Iterable[tuple[str, Sequence[str]]], combine, excluded: Collection[str] = ID_AND_LABEL
+) -> dict[str, list[str]]:
+    """The feature columns that each family choice has by itself; only schemas are looked at."""
+    return {name: feature_columns(combine(base, {f: families[f] for f in chosen}), excluded) for name, chosen in choices}
+
+
 def ablation(
     base: DataFrame,
-    families: dict[str, DataFrame],
+    families: Mapping[str, DataFrame],
     choices: Iterable[tuple[str, Sequence[str]]],
     combine,
     **kfold_options,
-) -> DataFrame:
-    """Out-of-fold AUC per family choice; ``families`` should be written tables."""
-    results = []
-    for name, chosen in choices:
-        table = combine(base, {f: families[f] for f in chosen})
-        result = kfold_boosted_trees(table, **kfold_options)
-        results.append(result.overall_auc.select(F.lit(name).alias("families"), "auc"))
-    return reduce(DataFrame.unionByName, results)
+) -> dict[str, Evaluation]:
+    """An evaluation per family choice, all over one table with the columns of every choice."""
+    choices = [(name, tuple(chosen)) for name, chosen in choices]
+    needed = {f for _, chosen in choices for f in chosen}
+    table = combine(base, {f: t for f, t in families.items() if f in needed})
+    return evaluate_choices(table, choice_features(base, families, choices, combine), **kfold_options)
+
+
+def ablation_report(results: Mapping[str, Evaluation]) -> DataFrame:
+    """families, fold, features, valid_auc, train_auc, overall_auc for each choice and fold."""
+    parts = []
+    for name, result in results.items():
+        valid = result.valid_auc.selectExpr("fold", "auc AS valid_auc")
+        train = result.train_auc.selectExpr("fold", "auc AS train_auc")
+        whole = result.overall_auc.selectExpr("auc AS overall_auc")  # one row
+        named = F.lit(name).alias("families"), "fold", F.lit(len(result.features)).alias("features"), "valid_auc", "train_auc", "overall_auc"
+        parts.append(valid.join(train, "fold").join(F.broadcast(whole)).select(*named))
+    return reduce(DataFrame.unionByName, parts)

@@ -10,26 +10,66 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
+_open_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder the cluster names for cut lineage; a temporary one only where it names none."""
+    """Folder the cluster names for cut lineage; a temporary one only on a local master that names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="tallyloom-")
     return _fallback[app]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/tallyloom/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/tallyloom/{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end; results must have been collected or written by then."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(table: DataFrame) -> None:
+    """Remove the files of a staged table; nothing may read it afterwards."""
+    _delete(table.sparkSession, table.staged_at)
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove all that this application staged; call it when its results are written elsewhere."""
+    _delete(spark, _application_folder(spark))

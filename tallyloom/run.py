@@ -12,9 +12,9 @@ from collections.abc import Collection, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.operators.evaluate import BoostSettings, Evaluation, kfold_boosted_trees, leading_features
+from tallyloom.operators.evaluate import BoostSettings, Evaluation, ablation, kfold_boosted_trees, leading_features
 from tallyloom.operators.schema import append_unlabelled
-from tallyloom.operators.staging import stage
+from tallyloom.operators.staging import remove_written, stage
 from tallyloom.plans import assembly
 from tallyloom.plans.first_version import first_version_tables
 from tallyloom.sources.tables import read_tables, write_importances, write_predictions
@@ -56,18 +56,14 @@ def run_family_choices(
     settings: BoostSettings | None = None,
     folds: int = 5,
 ) -> list[dict]:
-    """One evaluation per family choice; base and families are computed once for all of them."""
+    """One evaluation per family choice, all over one feature table."""
     choices = [(name, tuple(families)) for name, families in choices]
     tables = read_tables(spark, source, rows, format)
     base = stage(assembly.base_table(tables))
     needed = {f for _, families in choices for f in families}
     built = {f: stage(t) for f, t in assembly.family_tables(tables, needed).items()}
-    reports = []
-    for name, families in choices:
-        table = assembly.assemble(base, {f: built[f] for f in families})
-        result = kfold_boosted_trees(table, KEY, folds=folds, settings=settings)
-        reports.append(report(result, target, name))
-    return reports
+    results = ablation(base, built, choices, assembly.assemble, folds=folds, settings=settings)
+    return [report(result, target, name) for name, result in results.items()]
 
 
 def run_first_version(
@@ -93,6 +89,7 @@ def main() -> None:
     parser.add_argument("--families", default=",".join(assembly.FAMILIES))
     parser.add_argument("--rows", type=int, default=None, help="first rows per table, for a trial run")
     parser.add_argument("--rounds", type=int, default=BoostSettings.rounds)
+    parser.add_argument("--patience", type=int, default=BoostSettings.patience, help="rounds without a better held-out AUC that end a model")
     parser.add_argument("--ablation", action="store_true")
     parser.add_argument("--first-version", action="store_true")
     args = parser.parse_args()
@@ -102,7 +99,7 @@ def main() -> None:
     if args.ablation and chosen_families:
         parser.error("--ablation chooses the families itself: no --families")
     spark = SparkSession.builder.appName("tallyloom").getOrCreate()
-    settings = BoostSettings(rounds=args.rounds)
+    settings = BoostSettings(rounds=args.rounds, patience=args.patience)
     if args.first_version:
         reports = [run_first_version(spark, args.input, args.output, args.format, settings)]
     else:
@@ -111,6 +108,7 @@ def main() -> None:
         reports = run_family_choices(
             spark, args.input, args.output, choices, args.rows, args.format, settings
         )
+    remove_written(spark)
     for line in reports:
         print(json.dumps(line))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyloom.functions.columns import quoted
 from tallyloom.functions.scalars import NAN, called, name
 from tallyloom.operators.schema import first_rows
 from tallyloom.sources.schemas import SCAN_KEYS, TABLES
@@ -88,6 +89,18 @@ def read_cached(spark: SparkSession, folder: str, label: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{label}")
 
 
+def write_bucketed(df: DataFrame, label: str, key: str = "SK_ID_CURR", buckets: int = 64) -> DataFrame:
+    """Keep a feature table in the warehouse, dealt and sorted by its key: joins of such tables on the key move no row."""
+    dealt = df.repartition(buckets, quoted(key))  # one file for each bucket
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(label)
+    return df.sparkSession.table(label)
+
+
+def drop_bucketed(spark: SparkSession, *labels: str) -> None:
+    for label in labels:
+        spark.sql(f"DROP TABLE IF EXISTS {name(label)}")
+
+
 def _write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

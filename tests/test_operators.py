@@ -278,7 +278,7 @@ def test_boosting_by_folds(spark):
         label = None if i % 6 == 0 else int(x + rng.random() * 0.3 > 0.6)
         rows.append((i, label, x if i % 11 else None, rng.random(), INF if i % 13 == 0 else 1.0))
     df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, `x: 1` double, noise double, odd double")
-    settings = E.BoostSettings(rounds=5, depth=3, bins=16, min_rows=5, step=0.3)
+    settings = E.BoostSettings(rounds=5, depth=3, bins=16, min_rows=5, min_weight=0.1, step=0.3)
     result = E.kfold_boosted_trees(df, folds=3, settings=settings)
     assert result.features == ["x: 1", "noise", "odd"]
     assert result.out_of_fold.count() == 500

@@ -6,7 +6,6 @@ import __spark_entry__ as entry
 from tests.oracle import connect, differences, duck_table, spark_table
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-SLOW = {"family_ablation"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +20,7 @@ def test_same_as_sql(spark, folder, duck, name):
     assert left[1], "the query returns rows"
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, folder, name):
     assert QUERIES[name](spark, folder).count() > 0
 

@@ -6,7 +6,7 @@ from driver_queries.roles import all_tables
 from tallyloom.operators.evaluate import BoostSettings
 from tallyloom.run import run_family_choices, run_first_version
 
-SMALL = BoostSettings(rounds=2, depth=2, bins=16, min_rows=2, step=0.3)
+SMALL = BoostSettings(rounds=2, depth=2, bins=16, min_rows=2, min_weight=0.1, step=0.3)
 
 
 @pytest.fixture(scope="module")
