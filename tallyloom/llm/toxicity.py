@@ -21,11 +21,17 @@ BUCKETS, RANK = 1 << 16, 4
 SAMPLE = 20_000
 #: Buckets that fewer documents of the sample have are left out.
 LEAST_DOCS = 5
-#: A term whose share of toxic documents lies z standard errors off moves in steps of z^2 / (z^2 + EVIDENCE^2).
-EVIDENCE = 20
-EPOCHS, ROWS_AT_ONCE, STEP, DECAY = 12, 128, 0.05, 1e-3
+#: A term whose share of toxic documents lies z standard errors off counts z^2 / (z^2 + EVIDENCE^2) by itself.
+EVIDENCE = 3
+ROWS_AT_ONCE, STEP = 128, 0.05
+#: Pull of weights and of vectors to zero.
+DECAY, VECTOR_DECAY = 1e-4, 1e-3
+#: At most so many passes, the first third of them over weights alone; the number used is the best one on a part of the rows.
+EPOCHS = 24
 #: A small sample is gone over more often, for so many steps at least.
 LEAST_STEPS = 1500
+#: One row in so many validates.
+VALIDATION = 5
 
 
 def terms(text: str | None) -> np.ndarray:
@@ -35,7 +41,10 @@ def terms(text: str | None) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Machine:
-    """score = bias + sum of w + sum over pairs of terms of <v, v'>; terms that weren't learned have zeros."""
+    """score = bias + sum of w + sum over pairs of terms of <v, v'> / n, n the terms of the document; terms that weren't learned have zeros.
+
+    The pairs are those of a row of unit length, so that they do not outgrow the rest in long documents.
+    """
 
     bias: float
     weights: np.ndarray
@@ -48,7 +57,7 @@ class Machine:
         if len(full):
             v = self.vectors[flat]
             sums, squares = np.add.reduceat(v, starts[full]), np.add.reduceat(v * v, starts[full])
-            out[full] += np.add.reduceat(self.weights[flat], starts[full]) + 0.5 * (sums**2 - squares).sum(axis=1)
+            out[full] += np.add.reduceat(self.weights[flat], starts[full]) + 0.5 * (sums**2 - squares).sum(axis=1) / counts[full]
         return out
 
 
@@ -57,56 +66,81 @@ def _layout(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64), np.cumsum(counts) - counts, counts
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
-    """Fits by Adam steps on the logistic loss of ``rows`` of buckets; without both labels every score is the same."""
+def _fitted(rows: list[np.ndarray], labels: np.ndarray, judged: np.ndarray, passes: int, pairs: bool, seed: int) -> tuple[Machine, int]:
+    """Adam steps on the logistic loss of the rows that are not ``judged``; the machine after the pass that judges those best, and its number.
+
+    Without rows to judge the last pass counts. Weights come first, vectors join after a third of the passes.
+    """
     share = (labels.sum() + 1) / (len(labels) + 2)
-    bias = float(np.log(share / (1 - share)))
     random = np.random.default_rng(seed)
     flat, _, counts = _layout(rows)
     seen = np.bincount(flat, minlength=BUCKETS)
     toxic = np.bincount(flat, np.repeat(labels, counts), BUCKETS)
     names = np.flatnonzero(seen >= LEAST_DOCS)
-    evidence = (toxic[names] - seen[names] * share) ** 2 / (seen[names] * share * (1 - share))
-    pace = np.append(evidence / (evidence + EVIDENCE**2), 1.0)[:, None]
+    strength = (toxic[names] - seen[names] * share) ** 2 / (seen[names] * share * (1 - share))
+    strength = strength / (strength + EVIDENCE**2)
     place = np.full(BUCKETS, -1)
     place[names] = np.arange(len(names))
     rows = [p[p >= 0] for p in (place[r] for r in rows)]
     # columns: weight, vector; the last row is the bias
-    theta = np.concatenate((np.zeros((len(names) + 1, 1)), random.normal(0, 0.02, (len(names) + 1, RANK))), axis=1)
-    theta[:, 1:] *= pace
+    theta = np.concatenate((np.zeros((len(names) + 1, 1)), random.normal(0, 0.05, (len(names) + 1, RANK))), axis=1)
     theta[-1] = 0
-    theta[-1, 0] = bias
+    theta[-1, 0] = np.log(share / (1 - share))
+    pull = np.append(DECAY, np.full(RANK, VECTOR_DECAY))
     first, second, step = np.zeros_like(theta), np.zeros_like(theta), 0
-    passes = max(EPOCHS, -(-LEAST_STEPS // max(1, -(-len(rows) // ROWS_AT_ONCE))))
-    for _ in range(passes if 0 < labels.sum() < len(labels) else 0):
-        order = random.permutation(len(rows))
+    learning, best = np.flatnonzero(~judged), (np.inf, None, passes)
+    for number in range(passes):
+        both = pairs and number >= passes // 3
+        vectors = theta[:-1, 1:] if both else np.zeros((len(names), RANK))
+        order = random.permutation(learning)
         for start in range(0, len(order), ROWS_AT_ONCE):
             chosen = order[start : start + ROWS_AT_ONCE]
             flat, starts, counts = _layout([rows[i] for i in chosen])
-            machine = Machine(theta[-1, 0], theta[:-1, 0], theta[:-1, 1:])
+            machine = Machine(theta[-1, 0], theta[:-1, 0] * strength, vectors)
             error = 1 / (1 + np.exp(-np.clip(machine.raw(flat, starts, counts), -30, 30))) - labels[chosen]
             owner = np.repeat(np.arange(len(chosen)), counts)
-            sums = np.zeros((len(chosen), RANK))
-            full = counts > 0
-            if full.any():
-                sums[full] = np.add.reduceat(machine.vectors[flat], starts[full])
             each = error[owner] / len(chosen)
-            slopes = np.concatenate((each[:, None], each[:, None] * (sums[owner] - machine.vectors[flat])), axis=1)
-            used, inverse = np.unique(flat, return_inverse=True)
-            gradient = np.zeros((len(used) + 1, 1 + RANK))
-            for c in range(1 + RANK):
-                gradient[:-1, c] = np.bincount(inverse, slopes[:, c], len(used))
-            used = np.append(used, len(names))
-            gradient += DECAY * theta[used]
-            gradient[-1] = 0
+            gradient = np.zeros_like(theta)
+            gradient[:-1, 0] = np.bincount(flat, each * strength[flat], len(names))
+            if both and len(flat):
+                sums = np.zeros((len(chosen), RANK))
+                sums[counts > 0] = np.add.reduceat(vectors[flat], starts[counts > 0])
+                slopes = (each / counts[owner])[:, None] * (sums[owner] - vectors[flat])
+                for c in range(RANK):
+                    gradient[:-1, 1 + c] = np.bincount(flat, slopes[:, c], len(names))
+            gradient[:-1] += pull * theta[:-1]
+            if not both:
+                gradient[:, 1:] = 0
             gradient[-1, 0] = error.mean()
             step += 1
-            first[used] = 0.9 * first[used] + 0.1 * gradient
-            second[used] = 0.99 * second[used] + 0.01 * gradient**2
-            theta[used] -= STEP * pace[used] * (first[used] / (1 - 0.9**step)) / (np.sqrt(second[used] / (1 - 0.99**step)) + 1e-8)
-    weights, vectors = np.zeros(BUCKETS), np.zeros((BUCKETS, RANK))
-    weights[names], vectors[names] = theta[:-1, 0], theta[:-1, 1:]
-    return Machine(float(theta[-1, 0]), weights, vectors)
+            first = 0.9 * first + 0.1 * gradient
+            second = 0.99 * second + 0.01 * gradient**2
+            theta -= STEP * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+        if judged.any():
+            chosen = np.flatnonzero(judged)
+            score = Machine(theta[-1, 0], theta[:-1, 0] * strength, vectors).raw(*_layout([rows[i] for i in chosen]))
+            loss = float(np.mean(np.logaddexp(0, np.where(labels[chosen] > 0, -score, score))))
+            if loss < best[0]:
+                best = (loss, number + 1)
+    weights, wide = np.zeros(BUCKETS), np.zeros((BUCKETS, RANK))
+    weights[names] = theta[:-1, 0] * strength
+    if pairs and passes - 1 >= passes // 3:
+        wide[names] = theta[:-1, 1:]
+    return Machine(float(theta[-1, 0]), weights, wide), best[1]
+
+
+def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7, pairs: bool = True) -> Machine:
+    """Fits a machine to ``rows`` of buckets; without both labels every score is the same. ``pairs=False`` leaves the linear part only.
+
+    The number of passes is the one that judged a fifth of the rows best when the others were learned from; then all are.
+    """
+    if not 0 < labels.sum() < len(labels):
+        share = (labels.sum() + 1) / (len(labels) + 2)
+        return Machine(float(np.log(share / (1 - share))), np.zeros(BUCKETS), np.zeros((BUCKETS, RANK)))
+    judged = np.array([zlib.crc32(np.asarray(r, np.int32).tobytes()) % VALIDATION == 0 for r in rows])
+    passes = max(EPOCHS, -(-LEAST_STEPS // max(1, -(-len(rows) // ROWS_AT_ONCE))))
+    best = _fitted(rows, labels, judged, passes, pairs, seed)[1] if judged.any() and not judged.all() else passes
+    return _fitted(rows, labels, np.zeros(len(rows), bool), max(best, 1), pairs, seed)[0]
 
 
 def _term_batch(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -116,9 +150,11 @@ def _term_batch(batch: pa.RecordBatch) -> Iterator[dict]:
 def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     """Learns from the rows of ``docs`` (doc_id, text) with a row of ``labels`` (doc_id, label); a label is 0 or 1.
 
-    Of more than ``SAMPLE`` labels, a share chosen by a hash of the id is used. Terms, not texts, are shuffled.
+    Of more than ``SAMPLE`` labels, a share chosen by a hash of the id is used. Terms, not texts, are shuffled. Of repeated
+    label rows of an id the majority counts (1 at a tie).
     """
     labels = labels.select("doc_id", F.col("label").cast("int")).where("doc_id is not null and label in (0, 1)")
+    labels = labels.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     share = min(1.0, SAMPLE / max(1, labels.count()))
     labels = labels.where(f"pmod(xxhash64(doc_id), 1048576) < {share * 1048576}")
     texts = perhaps_among(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", labels.select("doc_id"))
