@@ -63,12 +63,6 @@ def give_back() -> None:
         pass
 
 
-def short_batches(spark: SparkSession, rows: int = 1_000) -> None:
-    """Sets the session to send workers at most so many rows at once: long texts make Spark's 10,000 rows a large batch on both sides."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, rows + 1):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-
-
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
     """Applies ``function`` to each Arrow batch; it yields dicts of columns, which become batches of ``schema``."""
     names = [part.split()[0] for part in schema.split(", ")]

@@ -91,7 +91,8 @@ def prose(n):
 
 
 @pytest.mark.parametrize(("order", "block", "span"), [(2, 1 << 20, 1 << 20), (2, 40, 30), (3, 100, 50)])
-def test_scores_equal_plain_loops(spark, order, block, span):
+def test_scores_equal_plain_loops(spark, monkeypatch, order, block, span):
+    monkeypatch.setattr(interpolation, "STEPS", 4)
     rows = [(i, prose(RANDOM.randint(1, 30))) for i in range(150)]
     rows += [(200, None), (201, ""), (202, " \t\n\x0b\x0c\r"), (3, "A b"), (3, "A b"), (None, "A new word"), (204, prose(3000))] + [(205, "hot text")] * 40
     table = spark.createDataFrame([(*r, 1, "w", 1, "x") for r in rows], SCHEMA).repartition(4)
