@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,8 +150,25 @@ def assembled_features(spark, folder):
 _SETTINGS = BoostSettings(patience=3, step=0.3, min_weight=1.0, chunk=4)
 
 
+_done: dict[tuple, object] = {}
+
+
+def _once(make):
+    """One evaluation for each session and folder: its reports read the same written predictions."""
+
+    @wraps(make)
+    def made(spark, folder):
+        key = (make.__name__, spark.sparkContext.applicationId, folder)
+        if key not in _done:
+            _done[key] = make(spark, folder)
+        return _done[key]
+
+    return made
+
+
+@_once
 def _evaluated(spark, folder):
-    """All families and rows; each report evaluates for itself."""
+    """All families and rows."""
     table = stage(assembly.feature_table(all_tables(spark, folder)))
     return kfold_boosted_trees(table, settings=_SETTINGS)
 
@@ -210,6 +227,7 @@ def gbt_importance_sums(spark, folder):
     )
 
 
+@_once
 def _ablated(spark, folder):
     tables = all_tables(spark, folder)
     base = stage(assembly.base_table(tables))

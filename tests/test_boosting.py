@@ -14,7 +14,7 @@ from tallyloom.operators import evaluate as E
 from tallyloom.operators import staging
 
 RANDOM = random.Random(9)
-SMALL = B.BoostSettings(rounds=7, patience=100, step=0.3, leaves=5, depth=3, bins=12, min_weight=0.5, min_rows=4, chunk=3)
+SMALL = B.BoostSettings(rounds=5, patience=100, step=0.3, leaves=5, depth=3, bins=12, min_weight=0.5, min_rows=4, chunk=3)
 
 
 def rows_of(n, seed=9):
@@ -131,8 +131,8 @@ def test_patience_keeps_the_best_round_of_a_full_run(spark):
 
     table, _ = table_of(spark, rows_of(500, 3))
     tasks = [B.Task("all", fold, (0, 1, 2, 3)) for fold in range(3)]
-    full = B.trained(table, tasks, 4, replace(SMALL, rounds=24), E.auc)
-    short = B.trained(table, tasks, 4, replace(SMALL, rounds=24, patience=6, chunk=4), E.auc)
+    full = B.trained(table, tasks, 4, replace(SMALL, rounds=14), E.auc)
+    short = B.trained(table, tasks, 4, replace(SMALL, rounds=14, patience=3, chunk=4), E.auc)
     stopped = 0
     for whole, early in zip(full, short, strict=True):
         # what a run that looks at each round one by one would keep
@@ -140,7 +140,7 @@ def test_patience_keeps_the_best_round_of_a_full_run(spark):
         for i, value in enumerate(whole.history):
             if value > max(whole.history[:best], default=-1.0):
                 best = i + 1
-            if i + 1 - best >= 6:
+            if i + 1 - best >= 3:
                 stopped += 1
                 break
         assert early.best == best and len(early.trees) == best
