@@ -138,13 +138,24 @@ def perhaps_among(table: DataFrame, column: str, ids: DataFrame) -> DataFrame:
 
     A bit map of hashes of the ids is broadcast; its size has a bound that does not depend on their number.
     """
+    placed, found = _placed(table, column, ids, "inner")
+    return placed.where(found).select(*[F.col(f"`{c}`") for c in table.columns])
+
+
+def split_among(table: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``perhaps_among`` and all others; ``column`` is never null."""
+    placed, found = _placed(table, column, ids, "left")
+    columns = [F.col(f"`{c}`") for c in table.columns]
+    return placed.where(found).select(*columns), placed.where(f"not coalesce({found}, false)").select(*columns)
+
+
+def _placed(table: DataFrame, column: str, ids: DataFrame, how: str) -> tuple[DataFrame, str]:
     slot = f"pmod(xxhash64(`{column}`), {MAP_BITS}) + 1"
     maps = ids.selectExpr(f"bitmap_bucket_number({slot}) as __bucket", f"bitmap_bit_position({slot}) as __bit")
     maps = maps.groupBy("__bucket").agg(F.expr("bitmap_construct_agg(__bit)").alias("__map"))
-    placed = table.withColumn("__slot", F.expr(slot)).join(F.broadcast(maps), F.expr("bitmap_bucket_number(__slot) = __bucket"))
+    placed = table.withColumn("__slot", F.expr(slot)).join(F.broadcast(maps), F.expr("bitmap_bucket_number(__slot) = __bucket"), how)
     byte = "cast(conv(hex(substring(__map, bitmap_bit_position(__slot) div 8 + 1, 1)), 16, 10) as int)"
-    found = f"shiftright({byte}, cast(bitmap_bit_position(__slot) % 8 as int)) % 2 = 1"
-    return placed.where(found).select(*[F.col(f"`{c}`") for c in table.columns])
+    return placed, f"shiftright({byte}, cast(bitmap_bit_position(__slot) % 8 as int)) % 2 = 1"
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
