@@ -52,7 +52,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of at most 4096 tokens."""
-    return pack_documents(docs, tokenizer_path(), end_id=1, length=4096, remembered=REMEMBERED)
+    return pack_documents(docs, tokenizer_path(), end_id=1, length=4096, remembered=REMEMBERED, keep=False)
 
 
 STAGES = [

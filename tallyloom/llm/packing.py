@@ -6,14 +6,16 @@ unpacked pieces fit the widened gap more tightly than it did; the best such pair
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import partial
-from itertools import chain, islice
+from functools import lru_cache, partial
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,62 +24,79 @@ from tallyloom.llm.common import give_back, parts, written
 
 #: Pieces packed by one task; every task leaves one sequence at most that lack of pieces keeps open.
 PIECES_PER_TASK = 65_536
-#: Words whose ids a task remembers, at some 200 bytes each; other words are encoded again in each batch.
+#: Words whose ids a worker remembers, at some 200 bytes each; other words are encoded again in each batch.
 REMEMBERED_WORDS = 1_000_000
-#: Words encoded at once; a word's encoding takes far more memory than its ids.
-WORDS_AT_ONCE = 4_096
-#: Python splits text at these controls, the tokenizers do not.
-_ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: Words encoded as one text, with a mark between each two, and such texts encoded at once; encoding takes far more memory than ids.
+WORDS_IN_TEXT, TEXTS_AT_ONCE = 64, 64
+_MARK = "\x01"
 
 
 class Encoder:
-    """A tokenizer with the ids of words that it met; one for each task, so that workers keep neither for later ones."""
+    """A tokenizer with the ids of words that it met.
+
+    The tokenizer must drop white space and never join what it separates, so equal words have equal ids wherever they stand
+    and need encoding once. Only ASCII white space separates words here; a word may hold other kinds.
+    """
 
     def __init__(self, path: str, remembered: int = REMEMBERED_WORDS) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks use the cores already; threads would keep memory each
         from tokenizers import Tokenizer
 
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
         self.known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def token_bytes(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers (null: no ids).
-
-        The tokenizer must drop white space and never join what it separates, so equal words have equal ids
-        wherever they stand and need encoding once; a text with unusual controls is encoded as a whole.
-        """
-        whole = {i: t for i, t in enumerate(texts) if t and any(c in t for c in _ODD_SPACES)}
-        words = [t.split() if t and i not in whole else [] for i, t in enumerate(texts)]
-        new = list(set(chain.from_iterable(words)).difference(self.known))
-        fresh: dict[str, bytes] = {}
-        for start in range(0, len(new), WORDS_AT_ONCE):
-            part = new[start : start + WORDS_AT_ONCE]
-            fresh.update(zip(part, self._encoded(part), strict=True))
-        room = self.remembered - len(self.known)
-        self.known.update(islice(fresh.items(), max(room, 0)))
-        if len(fresh) <= room:
-            look = self.known.__getitem__
-        else:
-            look = lambda word: self.known.get(word) or fresh.get(word, b"")
-        out = [b"".join(map(look, w)) for w in words]
-        for i, ids in zip(whole, self._encoded(list(whole.values())), strict=True):
-            out[i] = ids
-        return out
+        mark = self._ids([_MARK])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of each word. Words without the mark are encoded as texts of many, whose ids are cut where the mark's id is."""
+        plain = [w for w in words if _MARK not in w] if self.mark is not None else []
+        found: dict[str, bytes] = {}
+        groups = [plain[i : i + WORDS_IN_TEXT] for i in range(0, len(plain), WORDS_IN_TEXT)]
+        for start in range(0, len(groups), TEXTS_AT_ONCE):
+            some = groups[start : start + TEXTS_AT_ONCE]
+            for group, ids in zip(some, self._ids([f" {_MARK} ".join(g) for g in some]), strict=True):
+                marks = np.flatnonzero(ids == self.mark)
+                if len(marks) == len(group) - 1:  # else a word has the mark's id too
+                    cuts, whole = [-4, *(4 * marks).tolist(), ids.nbytes], ids.tobytes()
+                    found.update((w, whole[a + 4 : b]) for w, (a, b) in zip(group, pairwise(cuts), strict=True))
+        for word in words:
+            yield found[word] if word in found else self._ids([word])[0].tobytes()
+
+    def token_bytes(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers (null: no ids)."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
+        fresh = dict(zip(new, self._encoded(new), strict=True))
+        each = [fresh[w] if w in fresh else self.known[w] for w in words]
+        self.known.update(islice(fresh.items(), max(self.remembered - len(self.known), 0)))
+        codes, at = coded.indices.to_numpy(), 0
+        for n in pc.list_value_length(split).to_pylist():
+            yield b"".join(map(each.__getitem__, codes[at : at + n].tolist()))
+            at += n
+
+
+@lru_cache(maxsize=1)
+def _kept_encoder(path: str, remembered: int) -> Encoder:
+    return Encoder(path, remembered)
 
 
 _PIECES = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
 _PIECES_SQL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: int, remembered: int) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(path, remembered)
+def _piece_batches(
+    batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: int, remembered: int, keep: bool
+) -> Iterator[pa.RecordBatch]:
+    encoder = (_kept_encoder if keep else Encoder)(path, remembered)
     end = np.array([end_id], "<u4").tobytes()
     for batch in parts(batches):
         rows: list[list] = [[] for _ in _PIECES]
-        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.token_bytes(batch.column(1).to_pylist()), strict=True):
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.token_bytes(batch.column(1)), strict=True):
             ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * length)):
                 cut = ids[at : at + 4 * length]
@@ -89,11 +108,15 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, le
 
 
 def pieces(
-    docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096, remembered: int = REMEMBERED_WORDS
+    docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096, remembered: int = REMEMBERED_WORDS, keep: bool = True
 ) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: every document's ids with ``end_id`` after them, cut only if longer."""
+    """doc_id, piece, start, length, ids_crc32: every document's ids with ``end_id`` after them, cut only if longer.
+
+    ``keep``: a worker keeps the tokenizer and the words for its next task, in which most words come again; otherwise both
+    leave it with the task.
+    """
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    step = partial(_piece_batches, path=tokenizer_path, end_id=end_id, length=length, remembered=remembered)
+    step = partial(_piece_batches, path=tokenizer_path, end_id=end_id, length=length, remembered=remembered, keep=keep)
     return texts.mapInArrow(step, _PIECES_SQL)
 
 
@@ -175,11 +198,11 @@ def packed(table: DataFrame, capacity: int = 4096) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096, remembered: int = REMEMBERED_WORDS
+    docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 4096, remembered: int = REMEMBERED_WORDS, keep: bool = True
 ) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text) and their places in sequences of at most ``length`` tokens.
 
     A null or empty text is one piece that holds ``end_id`` alone; repeated rows and null ids are packed like others;
     other columns are ignored; no rows give no rows.
     """
-    return packed(written(pieces(docs, tokenizer_path, end_id, length, remembered)), length)
+    return packed(written(pieces(docs, tokenizer_path, end_id, length, remembered, keep)), length)
