@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache, partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +67,7 @@ def fit(docs: DataFrame) -> Languages:
     return Languages(names, tuple(b" ".join(dict.fromkeys(found[n]))[-DICTIONARY_BYTES:] for n in names))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _compressors(model: Languages) -> list[zstandard.ZstdCompressor]:
     out = []
     for content in model.contents:
@@ -80,19 +81,33 @@ def _compressors(model: Languages) -> list[zstandard.ZstdCompressor]:
     return out
 
 
+def batch_sizes(texts: Sequence[str | None], model: Languages) -> list[np.ndarray | None]:
+    """Compressed size of each whole text under each language; None without letters.
+
+    A language takes all parts of all texts before the next one does: its tables stay in the processor's cache, which
+    those of all languages together do not fit.
+    """
+    cut, bounds = [], [0]
+    for text in texts:
+        plain = letters(text)
+        if plain and any(map(str.isalpha, text)):
+            cut += [plain[i : i + PART] for i in range(0, len(plain), PART)]
+        bounds.append(len(cut))
+    ends = np.zeros((len(cut) + 1, len(model.names)), np.int64)
+    for column, compressor in enumerate(_compressors(model)):
+        ends[1:, column] = np.cumsum([len(part) for part in map(compressor.compress, cut)])
+    return [(ends[end] - ends[start]).astype(float) if end > start else None for start, end in pairwise(bounds)]
+
+
 def sizes(text: str | None, model: Languages) -> np.ndarray | None:
     """Compressed size of the whole text under each language; None without letters."""
-    plain = letters(text)
-    if not plain or not any(map(str.isalpha, text)):
-        return None
-    cut = [plain[i : i + PART] for i in range(0, len(plain), PART)]
-    return np.array([sum(len(c.compress(p)) for p in cut) for c in _compressors(model)], float)
+    return batch_sizes([text], model)[0]
 
 
 def _batch(batch: pa.RecordBatch, model: Languages, text: int) -> Iterator[dict]:
     names, scores, rejected = [], [], []
-    for content in batch.column(text).to_pylist():
-        found = sizes(content, model) if model.names else None
+    texts = batch.column(text).to_pylist()
+    for found in batch_sizes(texts, model) if model.names else [None] * len(texts):
         if found is None:
             names.append("und"), scores.append(0.0), rejected.append(True)
             continue

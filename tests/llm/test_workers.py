@@ -1,11 +1,12 @@
-"""What Python workers do and keep: words encoded once."""
+"""What Python workers do and keep: words encoded once, one dictionary at a time."""
 
 from __future__ import annotations
 
 import pyarrow as pa
+import zstandard
 from tokenizers import Tokenizer
 
-from tallyloom.llm import packing
+from tallyloom.llm import language, packing
 from tallyloom.llm.queries import tokenizer_path
 
 ODD = "Sea \x01 a\x01b \x1c.x y\x85z it's <|ENDOFTEXT|> <|endoftext|>x J\u030c\u2028 \u0130\u03a3. \x01\x01 12½\xa0k".split(" ")
@@ -30,3 +31,28 @@ def test_words_get_the_ids_of_their_texts_and_are_encoded_once_in_a_worker(monke
     packing._kept_encoder.cache_clear()
     assert [b.to_pylist() for b in packing._piece_batches(iter([batch]), tokenizer_path(), 1, 64, 10_000, False)] == first
     assert packing._kept_encoder.cache_info().currsize == 0
+
+
+def test_a_language_compresses_a_whole_batch_before_the_next(monkeypatch):
+    model = language.Languages(("xx", "yy", "zz"), tuple(" ".join(w * 3 + str(i) for i in range(500)).encode() for w in ("ab", "cd", "ef")))
+    texts = ["ababab cdcdcd " * 400, None, "½", "", "ef", *(f"abab{'cd' * i} efef" for i in range(20))]
+    want = []
+    for text in texts:
+        cut = [language.letters(text)[i : i + language.PART] for i in range(0, len(language.letters(text)), language.PART)]
+        cut = cut if any(map(str.isalpha, text or "")) else []
+        want.append([sum(len(c.compress(p)) for p in cut) for c in language._compressors(model)] if cut else None)
+    seen, made = [], language._compressors(model)
+
+    class Noted:
+        def __init__(self, number: int, compressor: zstandard.ZstdCompressor) -> None:
+            self.number, self.compressor = number, compressor
+
+        def compress(self, part: bytes) -> bytes:
+            seen.append(self.number)
+            return self.compressor.compress(part)
+
+    monkeypatch.setattr(language, "_compressors", lambda _: [Noted(n, c) for n, c in enumerate(made)])
+    names = [n for found in language._batch(pa.record_batch({"text": pa.array(texts)}), model, 0) for n in found["lang_pred"]]
+    assert seen == sorted(seen) and len(seen) % 3 == 0
+    assert names == ["und" if w is None else model.names[w.index(min(w))] for w in want]
+    assert [f if f is None else f.tolist() for f in language.batch_sizes(texts, model)] == want
