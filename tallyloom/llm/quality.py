@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import add_columns, map_batches, perhaps_among
+from tallyloom.llm.common import add_columns, map_batches, perhaps_among, written
 
 FEATURES = (
     "words", "chars_per_word", "lower", "upper", "digits", "punctuation", "symbols", "pipes", "exclamations",
@@ -94,7 +94,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Discriminant:
     """
     labels = labels.select("doc_id", F.col("label").cast("int")).where("doc_id is not null and label in (0, 1)")
     texts = perhaps_among(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", labels.select("doc_id"))
-    rows = map_batches(texts, _statistic_batch, "doc_id long, row array<double>").join(labels, "doc_id").select("row", "label")
+    found = written(map_batches(texts, _statistic_batch, "doc_id long, row array<double>"))  # or a task would hold two Python workers
+    rows = found.join(labels, "doc_id").select("row", "label")
     sums = map_batches(rows, _moment_batch, "label int, position int, value double")
     d = len(FEATURES)
     values = np.zeros((2, 1 + d + d * d))

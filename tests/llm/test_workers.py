@@ -1,4 +1,4 @@
-"""What Python workers do and keep: words encoded once, one dictionary at a time."""
+"""What Python workers do and keep: words encoded once, one dictionary at a time, one worker a task."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import pyarrow as pa
 import zstandard
 from tokenizers import Tokenizer
 
-from tallyloom.llm import language, packing
+from tallyloom.llm import language, packing, quality
 from tallyloom.llm.queries import tokenizer_path
 
 ODD = "Sea \x01 a\x01b \x1c.x y\x85z it's <|ENDOFTEXT|> <|endoftext|>x J\u030c\u2028 \u0130\u03a3. \x01\x01 12½\xa0k".split(" ")
@@ -56,3 +56,16 @@ def test_a_language_compresses_a_whole_batch_before_the_next(monkeypatch):
     assert seen == sorted(seen) and len(seen) % 3 == 0
     assert names == ["und" if w is None else model.names[w.index(min(w))] for w in want]
     assert [f if f is None else f.tolist() for f in language.batch_sizes(texts, model)] == want
+
+
+def test_quality_runs_one_python_step_in_a_stage(spark, monkeypatch):
+    plans, plain = [], quality.map_batches
+
+    def noted(df, function, schema):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, function, schema)
+
+    monkeypatch.setattr(quality, "map_batches", noted)
+    docs = spark.createDataFrame([(i, "Some words. " * (i + 1), i % 2) for i in range(20)], "doc_id long, text string, label int")
+    quality.fit(docs.select("doc_id", "text"), docs.select("doc_id", "label"))
+    assert len(plans) == 2 and not any("MapInArrow" in plan for plan in plans)
