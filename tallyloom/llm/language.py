@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import add_columns, written
+from tallyloom.llm.common import add_columns
 
 #: At most so many documents of a language are learned from, and so many bytes from each and for each dictionary.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 2_000, 110_000
@@ -37,27 +37,36 @@ class Languages:
     contents: tuple[bytes, ...]
 
 
-def fit(docs: DataFrame) -> Languages:
-    """Learns a raw-content dictionary for each value of ``lang`` from ``docs`` (doc_id, text, lang).
+def sampled(docs: DataFrame) -> DataFrame:
+    """lang, rank and part of the documents that ``fit`` learns from; ``docs`` have a language and letters.
 
-    The sample is bounded: for each language ``SAMPLE_DOCS`` documents, those with the smallest hash of their text among
-    documents whose middle ``SAMPLE_BYTES`` characters have different letters, and ``SAMPLE_BYTES`` bytes of each. Copies
-    take one place, however many there are. Rows without a language or without letters are left out.
+    Hashes are aggregated once: counting and choosing them read one shuffle. Nothing is written, as a file for each
+    partition of few hashes takes some processes each on a file system that sets permissions by commands.
     """
-    known = docs.where("lang is not null and text rlike '\\\\p{L}'").select(F.col("lang").cast("string"), F.col("text").cast("string"))
-    known = known.withColumn("place", F.xxhash64("text"))
+    parts = docs.withColumn("place", F.xxhash64("text"))
     # the middle of each text
-    parts = known.withColumn("part", F.expr(f"substring(text, greatest(1, length(text) div 2 - {SAMPLE_BYTES // 2}), {SAMPLE_BYTES})"))
+    parts = parts.withColumn("part", F.expr(f"substring(text, greatest(1, length(text) div 2 - {SAMPLE_BYTES // 2}), {SAMPLE_BYTES})"))
     plain = F.trim(F.regexp_replace(F.lower("part"), r"[^\p{L}\p{Nl}\p{No}]+", " "))
     # only hashes are made distinct and ranked; the chosen parts, of a bounded number, are fetched afterwards
-    places = written(parts.groupBy("lang", F.xxhash64(plain).alias("letters")).agg(F.min("place").alias("place")))
+    places = parts.groupBy("lang", F.xxhash64(plain).alias("letters")).agg(F.min("place").alias("place"))
     # hashes are spread evenly: those below a bound hold the smallest ones of each language, and are few for any number of documents
     bound = f"{-(2.0**63)!r}d + {2.0**64!r}d * {4 * SAMPLE_DOCS} / n"
-    known_sizes = places.groupBy("lang").agg(F.count("*").alias("n"))
-    places = places.join(known_sizes, "lang").where(f"n <= {4 * SAMPLE_DOCS} or cast(place as double) <= {bound}")
+    known_sizes = places.groupBy("lang").agg(F.count("place").alias("n"))  # count("*") would need a shuffle of its own
+    places = places.join(F.broadcast(known_sizes), "lang").where(f"n <= {4 * SAMPLE_DOCS} or cast(place as double) <= {bound}")
     order = Window.partitionBy("lang").orderBy("place")
     chosen = places.withColumn("rank", F.row_number().over(order)).where(f"rank <= {SAMPLE_DOCS}").select("lang", "place", "rank")
-    sample = parts.join(F.broadcast(chosen), ["lang", "place"]).groupBy("lang", "rank").agg(F.min("part").alias("part"))
+    return parts.join(F.broadcast(chosen), ["lang", "place"]).groupBy("lang", "rank").agg(F.min("part").alias("part"))
+
+
+def fit(docs: DataFrame) -> Languages:
+    """Learns a raw-content dictionary for each value of ``lang`` from ``docs`` (doc_id, text, lang).
+
+    The sample is bounded: for each language ``SAMPLE_DOCS`` documents, those with the smallest hash of their text among
+    documents whose middle ``SAMPLE_BYTES`` characters have different letters, and ``SAMPLE_BYTES`` bytes of each. Copies
+    take one place, however many there are. Rows without a language or without letters are left out.
+    """
+    known = docs.where("lang is not null and text rlike '\\\\p{L}'").select(F.col("lang").cast("string"), F.col("text").cast("string"))
+    sample = sampled(known)
     found: dict[str, list[bytes]] = {}
     for row in sample.orderBy("lang", "rank").toLocalIterator():
         found.setdefault(row.lang, []).append(letters(row.part)[:SAMPLE_BYTES])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm import decontamination, language, licenses, neighbours, packing, pages, quality, sharding, toxicity
+from tallyloom.llm.common import shared_folder
 from tallyloom.llm.near_duplicates import near_duplicates, shingle_hashes
 from tallyloom.llm.queries import tokenizer_path
 
@@ -282,6 +284,26 @@ def test_copies_take_one_place_of_the_language_sample(spark, monkeypatch):
     assert sum(content.count(language.letters(text)) for text in texts + more) == 12
 
 
+def test_the_language_sample_is_aggregated_once_and_writes_no_file(spark, tmp_path, monkeypatch):
+    def files() -> int:
+        return sum(len(found) for _, _, found in os.walk(shared_folder(spark).removeprefix("file://")))
+
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 5)  # so that the bound of the hashes cuts
+    texts = {lang: [prose(8) for _ in range(60)] for lang in ("xx", "yy")} | {"zz": [prose(8) for _ in range(3)]}
+    rows = [(text, lang) for lang, some in texts.items() for text in some for _ in range(2)]
+    spark.createDataFrame(rows, "text string, lang string").write.parquet(str(tmp_path / "t"))
+    docs, before = spark.read.parquet(str(tmp_path / "t")), files()
+    model = language.fit(docs)
+    assert files() == before and model.names == ("xx", "yy", "zz")
+    order = docs.distinct().orderBy("lang", F.xxhash64("text")).collect()
+    want = {lang: [r.text for r in order if r.lang == lang][:5] for lang in texts}
+    assert model.contents == tuple(" ".join(want[lang]).encode() for lang in model.names)
+    sample = language.sampled(docs)
+    assert sorted(tuple(r) for r in sample.collect()) == [(lang, n, t) for lang in model.names for n, t in enumerate(want[lang], 1)]
+    plan = sample._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and "Exchange hashpartitioning(lang" in plan
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     import corpus_pipeline
 
