@@ -63,6 +63,18 @@ def give_back() -> None:
         pass
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands a Python step no more at once than ``parts`` takes of it; lower limits stay.
+
+    A batch of Spark's own limits holds most of a file split, in the JVM and in the worker, and both keep much of such memory.
+    """
+    for name, most in (("Records", ROWS_AT_ONCE), ("Bytes", BYTES_AT_ONCE)):
+        key = f"spark.sql.execution.arrow.max{name}PerBatch"
+        now = int((spark.conf.get(key, None) or "0").rstrip("b"))
+        if not 0 < now <= most:
+            spark.conf.set(key, most)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
     """Applies ``function`` to each Arrow batch; it yields dicts of columns, which become batches of ``schema``."""
     names = [part.split()[0] for part in schema.split(", ")]
@@ -109,22 +121,26 @@ def add_columns(
 ) -> DataFrame:
     """The columns ``keep`` of ``docs``, unchanged, and those of ``schema`` that ``function`` makes of each batch.
 
-    The function gets the batch and, as ``text``, the place of the text column, which comes last; columns of ``docs``
-    that are not in ``keep`` are not read. A new column that clashes with one of ``keep`` is named by ``free_names``.
+    The function gets the batch and, as ``text``, the place of the text column: its place in ``keep`` if it is a string and
+    kept, else the last. Columns of ``docs`` that are not in ``keep`` are not read. A new column that clashes with one of
+    ``keep`` is named by ``free_names``.
     """
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
     names = [part.split()[0] for part in schema.split(", ")]
     kinds = [_ARROW[part.split(" ", 1)[1]] for part in schema.split(", ")]
     width = len(keep)
+    once = text in keep and kept.schema[text].dataType == StringType()  # a kept text need not travel twice
+    place = list(keep).index(text) if once else width
     called = free_names(keep, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            for columns in function(batch, text=width):
+            for columns in function(batch, text=place):
                 made = [pa.array(columns[name], type=kind) for name, kind in zip(names, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=[*batch.schema.names[:width], *called.values()])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias(free_names(keep, ["__text"])["__text"]))
+    apart = F.col(f"`{text}`").cast("string").alias(free_names(keep, ["__text"])["__text"])
+    source = kept if once else docs.select(*[F.col(f"`{c}`") for c in keep], apart)
     fields = [StructField(called[part.split()[0]], _SPARK[part.split(" ", 1)[1]]) for part in schema.split(", ")]
     return source.mapInArrow(run, StructType([*kept.schema.fields, *fields]))
 

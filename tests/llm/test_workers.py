@@ -6,7 +6,8 @@ import pyarrow as pa
 import zstandard
 from tokenizers import Tokenizer
 
-from tallyloom.llm import language, packing, quality
+import corpus_pipeline
+from tallyloom.llm import common, language, packing, quality
 from tallyloom.llm.queries import tokenizer_path
 
 ODD = "Sea \x01 a\x01b \x1c.x y\x85z it's <|ENDOFTEXT|> <|endoftext|>x J\u030c\u2028 \u0130\u03a3. \x01\x01 12½\xa0k".split(" ")
@@ -69,3 +70,43 @@ def test_quality_runs_one_python_step_in_a_stage(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "Some words. " * (i + 1), i % 2) for i in range(20)], "doc_id long, text string, label int")
     quality.fit(docs.select("doc_id", "text"), docs.select("doc_id", "label"))
     assert len(plans) == 2 and not any("MapInArrow" in plan for plan in plans)
+
+
+def test_stages_hand_python_small_batches(spark, folder):
+    def shapes(batches):
+        for batch in batches:
+            yield pa.record_batch({"rows": pa.array([batch.num_rows], pa.int64()), "bytes": pa.array([batch.nbytes], pa.int64())})
+
+    limits = {f"spark.sql.execution.arrow.max{k}PerBatch": spark.conf.get(f"spark.sql.execution.arrow.max{k}PerBatch") for k in ("Records", "Bytes")}
+    rows = spark.range(0, 5_000, 1, 1).selectExpr("id as doc_id", "repeat('some words ', 100) as text", "'en' as lang", "'s' as source", "1L as n_chars")
+    wide = spark.range(0, 200, 1, 1).selectExpr("repeat('x', 100000) as text")
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "benchmark":  # runs no Python
+                continue
+            for key, value in limits.items():
+                spark.conf.set(key, value)
+            stage(spark, rows.limit(20), folder)
+            seen = [r.rows for r in rows.mapInArrow(shapes, "rows long, bytes long").collect()]
+            assert sum(seen) == 5_000 and max(seen) <= common.ROWS_AT_ONCE, name
+            assert max(r.bytes for r in wide.mapInArrow(shapes, "rows long, bytes long").collect()) <= 2 * common.BYTES_AT_ONCE, name
+        spark.conf.set(next(iter(limits)), 10)
+        common.small_batches(spark)
+        assert spark.conf.get(next(iter(limits))) == "10"  # lower limits stay
+    finally:
+        for key, value in limits.items():
+            spark.conf.set(key, value)
+
+
+def test_a_kept_text_reaches_python_once(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+
+    def seen(batch, text):
+        yield {"score": [float(batch.num_columns)] * batch.num_rows, "texts": batch.column(text)}
+
+    for keep, columns in ((["doc_id", "text"], 2), (["text", "doc_id"], 2), (["doc_id"], 2), (["doc_id", "TEXT"], 3)):
+        out = common.add_columns(docs, keep, "text", seen, "score double, texts string").orderBy("doc_id").collect()
+        assert [(r.doc_id, r.score, r.texts) for r in out] == [(1, columns, "a b"), (2, columns, None)]
+    number = docs.select("doc_id", docs.doc_id.alias("text"))  # a text that is no string is kept and cast apart
+    out = common.add_columns(number, ["doc_id", "text"], "text", seen, "score double, texts string").orderBy("doc_id").collect()
+    assert [(r.text, r.score, r.texts) for r in out] == [(1, 3, "1"), (2, 3, "2")]
