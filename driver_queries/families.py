@@ -11,7 +11,9 @@ from driver_queries import family_sql as S
 from driver_queries.operators import fold_sql
 from driver_queries.registry import query
 from driver_queries.roles import all_tables, applications, role, with_roles
-from tallyloom.operators.evaluate import BoostSettings, ablation, ablation_report, kfold_boosted_trees, leading_features
+from tallyloom.operators.evaluate import (
+    BoostSettings, ablation_report, choice_features, evaluate_choices, kfold_boosted_trees, leading_features,
+)
 from tallyloom.operators.staging import stage
 from tallyloom.plans import assembly
 from tallyloom.plans.application import application_features
@@ -166,11 +168,22 @@ def _once(make):
     return made
 
 
+@_once
+def _parts(spark, folder):
+    tables = all_tables(spark, folder)
+    return assembly.base_table(tables), assembly.family_tables(tables)
+
+
+@_once
+def _features(spark, folder):
+    """The table of all families, written once for both evaluations."""
+    return stage(assembly.assemble(*_parts(spark, folder)))
+
+
 @_once
 def _evaluated(spark, folder):
     """All families and rows."""
-    table = stage(assembly.feature_table(all_tables(spark, folder)))
-    return kfold_boosted_trees(table, settings=_SETTINGS)
+    return kfold_boosted_trees(_features(spark, folder), settings=_SETTINGS)
 
 
 @query()
@@ -229,10 +242,8 @@ def gbt_importance_sums(spark, folder):
 
 @_once
 def _ablated(spark, folder):
-    tables = all_tables(spark, folder)
-    base = stage(assembly.base_table(tables))
-    families = {f: stage(t) for f, t in assembly.family_tables(tables).items()}
-    return ablation(base, families, assembly.ablation_choices(), assembly.assemble, settings=_SETTINGS)
+    choices = choice_features(*_parts(spark, folder), assembly.ablation_choices(), assembly.assemble)
+    return evaluate_choices(_features(spark, folder), choices, settings=_SETTINGS)
 
 
 @query()

@@ -2,8 +2,10 @@
 
 A model is a set of features and a part of the labelled rows that it does not train on. All models grow their trees
 together: one job adds up the gradients of every open node of every model by feature and bin, and finds each node's best
-split where the sums meet; only splits come to the driver. Margins are kept in the table and written anew with each
-chunk of rounds, when the exact area under the curve of every round in the chunk decides which models go on.
+split where the sums meet; only splits come to the driver. Labelled rows are kept in blocks of thousands, column by
+column: a block's bins and margins are one array each, so that a job adds up whole columns and no row is handled by
+itself. Margins are written anew with each chunk of rounds, when the exact area under the curve of every round in the
+chunk decides which models go on.
 """
 
 from __future__ import annotations
@@ -16,15 +18,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tallyloom.functions.columns import quoted
 from tallyloom.functions.scalars import name as col_name
-from tallyloom.operators.staging import passing, release, stage
+from tallyloom.operators.staging import large_rows, passing, release, stage
 
 #: Features whose sums are one row of the exchange, and rows whose trees are applied at once.
 FEATURES_TOGETHER, ROWS_TOGETHER = 16, 4_096
 
+#: Rows of a block, fewer if its bins or margins would take more bytes.
+ROWS_IN_BLOCK, BYTES_IN_BLOCK = 8_192, 4 << 20
+
 
 @dataclass(frozen=True)
 class BoostSettings:
@@ -61,14 +65,16 @@ class Tree:
     gain: list[float] = field(default_factory=lambda: [0.0])
 
     def leaf_of(self, bins: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(bins), np.int64)
-        feature, cut, left, right = (np.array(x) for x in (self.feature, self.cut, self.left, self.right))
-        while True:
-            open_rows = np.flatnonzero(feature[at] >= 0)
-            if not len(open_rows):
-                return at
-            node = at[open_rows]
-            at[open_rows] = np.where(bins[open_rows, feature[node]] <= cut[node], left[node], right[node])
+        """The leaf of each row; ``bins`` has a row for each feature. A split's right child follows its left one."""
+        at = np.zeros(bins.shape[1], np.uint8 if len(self.feature) <= 256 else np.uint32)
+        for node, feature in enumerate(self.feature):
+            if feature >= 0:
+                here = (at == node).view(np.uint8)
+                right = (bins[feature] > self.cut[node]).view(np.uint8)
+                right &= here
+                at += here.astype(at.dtype, copy=False) * at.dtype.type(self.left[node] - node)
+                at += right
+        return at
 
     def split(self, node: int, feature: int, cut: int, gain: float) -> tuple[int, int]:
         children = len(self.feature), len(self.feature) + 1
@@ -97,13 +103,26 @@ class Trained:
     history: list[float]  # held-out AUC of each round
 
 
+def _quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], error: float) -> list[list[float]]:
+    """As ``approxQuantile``, which fetches the numbers one by one; here those of a column come together."""
+    context = df.sparkSession.sparkContext
+    jvm, new_array = context._jvm, context._gateway.new_array
+    names, places = new_array(jvm.java.lang.String, len(columns)), new_array(jvm.double, len(shares))
+    for array, values in ((names, columns), (places, shares)):
+        for i, value in enumerate(values):
+            array[i] = value
+    found = df._jdf.stat().approxQuantile(names, places, float(error))
+    texts = (jvm.java.util.Arrays.toString(found[i])[1:-1] for i in range(len(columns)))
+    return [[float(x) for x in text.split(", ") if x] for text in texts]
+
+
 def cut_points(df: DataFrame, features: Sequence[str], bins: int, error: float = 0.001) -> list[np.ndarray]:
     """Distinct cut points of each feature, near its quantiles; one pass over all columns."""
     names = [f"__{i}" for i in range(len(features))]
     doubles = df.selectExpr(*[f"double({col_name(c)}) AS {n}" for c, n in zip(features, names, strict=True)])
     finite = doubles.selectExpr(*[f"IF(isnan({n}) OR abs({n}) = double('infinity'), NULL, {n}) AS {n}" for n in names])
     shares = [i / (bins - 1) for i in range(1, bins - 1)]
-    return [np.unique(np.array(points, float)) for points in finite.approxQuantile(names, shares, error)]
+    return [np.unique(np.array(points, float)) for points in _quantiles(finite, names, shares, error)]
 
 
 def _binned_batches(batches: Iterator[pa.RecordBatch], cuts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -145,21 +164,69 @@ def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, width)
 
 
-def _margins(batch: pa.RecordBatch, models: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("margins").to_pylist()), "<f8").reshape(-1, models).copy()
-
-
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS_TOGETHER):
             yield batch.slice(start, ROWS_TOGETHER)
 
 
-def _advanced(margins: np.ndarray, bins: np.ndarray, trees: dict[int, list[Tree]], step: float) -> np.ndarray:
-    for model, grown in trees.items():
-        for tree in grown:
-            margins[:, model] += step * np.array(tree.value)[tree.leaf_of(bins)]
-    return margins
+_BLOCK = "rows int, label binary, fold binary, draw binary, bins binary, margins binary"
+#: A row is some megabytes, so sizes are looked at after few rows.
+_BLOCK_FILES = {"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1}
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], first: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """Labelled rows in blocks; bins have a row for each feature, margins one for each model."""
+    most = max(1, min(ROWS_IN_BLOCK, BYTES_IN_BLOCK // max(1, width, 8 * len(first))))
+    names = [part.split()[0] for part in _BLOCK.split(", ")]
+
+    def block(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        label, fold, draw, bins = (np.concatenate(x) for x in zip(*parts, strict=True))
+        margins = np.repeat(first[:, None], len(label), axis=1)
+        arrays = label.astype("<f8"), fold.astype("<i4"), draw.astype("<i8"), np.ascontiguousarray(bins.T), margins.astype("<f8")
+        return pa.RecordBatch.from_arrays([pa.array([len(label)], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in arrays]], names=names)
+
+    held, n = [], 0
+    for batch in _slices(batches):
+        label = batch.column("__label").to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(~np.isnan(label))
+        columns = label, batch.column("fold").to_numpy(), batch.column("__draw").to_numpy(), _matrix(batch, width)
+        columns = [x[rows] for x in columns]
+        while len(columns[0]):
+            room = most - n
+            held.append(tuple(x[:room] for x in columns))
+            n += len(held[-1][0])
+            columns = [x[room:] for x in columns]
+            if n == most:
+                yield block(held)
+                held, n = [], 0
+    if n:
+        yield block(held)
+
+
+@dataclass(frozen=True)
+class _Block:
+    label: np.ndarray
+    fold: np.ndarray
+    draw: np.ndarray
+    bins: np.ndarray
+    margins: np.ndarray
+
+
+def _unpacked(batch: pa.RecordBatch, width: int, models: int) -> Iterator[_Block]:
+    for i in range(batch.num_rows):
+        n = batch.column("rows")[i].as_py()
+        label, fold, draw, bins, margins = (
+            np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+            for c, kind in (("label", "<f8"), ("fold", "<i4"), ("draw", "<i8"), ("bins", np.uint8), ("margins", "<f8"))
+        )
+        yield _Block(label, fold, draw, bins.reshape(width, n), margins.reshape(models, n))
+
+
+def _advanced(margin: np.ndarray, bins: np.ndarray, grown: Sequence[Tree], step: float) -> np.ndarray:
+    for tree in grown:
+        margin = margin + step * np.array(tree.value)[tree.leaf_of(bins)]
+    return margin
 
 
 def _gradients(margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,31 +255,36 @@ _SUMS = "model int, node int, block int, sums binary"
 def _sums(batches: Iterator[pa.RecordBatch], r: _Round) -> Iterator[pa.RecordBatch]:
     """Sums of both derivatives and of rows for each open node, feature and bin over the task's rows."""
     s, totals = r.settings, {}
-    for batch in _slices(batches):
-        label = batch.column("__label").to_numpy(zero_copy_only=False)
-        fold = batch.column("fold").to_numpy()
-        draw = batch.column("__draw").to_numpy()
-        bins = _matrix(batch, r.width)
-        margins = _advanced(_margins(batch, r.models), bins, r.trees, s.step)
+    for block in (block for batch in batches for block in _unpacked(batch, r.width, r.models)):
+        taken: dict[int, np.ndarray] = {}
         for model, tree in r.growing.items():
-            salt = _salt(s.seed, r.number, r.tasks[model].fold)
-            rows = np.flatnonzero(~np.isnan(label) & (fold != r.tasks[model].fold) & _drawn(draw, salt, s.row_sample))
+            fold, used, nodes = r.tasks[model].fold, r.features[model], r.nodes[model]
+            if fold not in taken:
+                taken[fold] = np.flatnonzero((block.fold != fold) & _drawn(block.draw, _salt(s.seed, r.number, fold), s.row_sample))
             slots = np.full(len(tree.feature), -1)
-            slots[r.nodes[model]] = np.arange(len(r.nodes[model]))
-            slot = slots[tree.leaf_of(bins[rows])]
-            rows, slot = rows[slot >= 0], slot[slot >= 0]
-            g, h = _gradients(margins[rows, model], label[rows])
-            used = r.features[model]
-            cells = ((slot[:, None] * len(used) + np.arange(len(used))) * s.bins + bins[np.ix_(rows, used)]).ravel()
-            size = len(r.nodes[model]) * len(used) * s.bins
-            parts = [np.bincount(cells, None if w is None else np.repeat(w, len(used)), size) for w in (g, h, None)]
-            found = np.stack(parts, axis=-1).reshape(len(r.nodes[model]), len(used), s.bins, 3)
-            totals[model] = totals[model] + found if model in totals else found
+            slots[nodes] = np.arange(len(nodes))
+            slot = slots[tree.leaf_of(block.bins)[taken[fold]]]
+            rows, first = taken[fold][slot >= 0], slot[slot >= 0] * s.bins
+            weights = np.empty(len(rows), complex)
+            margin = _advanced(block.margins[model], block.bins, r.trees[model], s.step)
+            weights.real, weights.imag = _gradients(margin[rows], block.label[rows])
+            size = len(nodes) * s.bins
+            if model not in totals:
+                totals[model] = np.zeros((len(used), size), complex), np.zeros((len(used), size), np.int64)
+            both, counts = totals[model]
+            for i, feature in enumerate(used):
+                # a column at a time, so that its sums stay in the processor's cache
+                cells = first + block.bins[feature].take(rows)
+                np.add.at(both[i], cells, weights)
+                counts[i] += np.bincount(cells, minlength=size)
     rows = []
-    for model, sums in totals.items():
+    for model, (both, counts) in totals.items():
         for slot, node in enumerate(r.nodes[model]):
-            for start in range(0, sums.shape[1], FEATURES_TOGETHER):
-                rows.append((model, node, start // FEATURES_TOGETHER, sums[slot, start : start + FEATURES_TOGETHER].astype("<f8").tobytes()))
+            own = slice(slot * s.bins, (slot + 1) * s.bins)
+            for start in range(0, len(both), FEATURES_TOGETHER):
+                some = slice(start, start + FEATURES_TOGETHER)
+                sums = np.stack([both.real[some, own], both.imag[some, own], counts[some, own]], axis=-1)
+                rows.append((model, node, start // FEATURES_TOGETHER, sums.astype("<f8").tobytes()))
     for start in range(0, len(rows), 500):
         columns = zip(*rows[start : start + 500], strict=True)
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
@@ -288,30 +360,24 @@ def _grow(state: DataFrame, r: _Round) -> None:
         r = replace(r, growing={m: t for m, t in r.growing.items() if m in open_models}, nodes={m: nodes[m] for m in open_models})
 
 
-def _first_margins(batches: Iterator[pa.RecordBatch], margins: np.ndarray) -> Iterator[pa.RecordBatch]:
-    raw = margins.astype("<f8").tobytes()
-    for batch in batches:
-        yield batch.append_column("margins", pa.array([raw] * batch.num_rows, pa.binary()))
-
-
 def _next_margins(batches: Iterator[pa.RecordBatch], r: _Round) -> Iterator[pa.RecordBatch]:
-    for batch in _slices(batches):
-        margins = _advanced(_margins(batch, r.models), _matrix(batch, r.width), r.trees, r.settings.step)
-        raw = pa.array([row.tobytes() for row in margins], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], raw], names=batch.schema.names)
+    for batch in batches:
+        raw = []
+        for block in _unpacked(batch, r.width, r.models):
+            rows = [_advanced(block.margins[m], block.bins, r.trees.get(m, ()), r.settings.step) for m in range(r.models)]
+            raw.append(np.stack(rows).astype("<f8").tobytes())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(raw, pa.binary())], names=batch.schema.names)
 
 
 def _held_out_margins(batches: Iterator[pa.RecordBatch], r: _Round) -> Iterator[pa.RecordBatch]:
     """model, round, label, margin of held-out rows after each round of the chunk."""
-    for batch in _slices(batches):
-        label, fold = batch.column("__label").to_numpy(zero_copy_only=False), batch.column("fold").to_numpy()
-        bins, margins = _matrix(batch, r.width), _margins(batch, r.models)
+    for block in (block for batch in batches for block in _unpacked(batch, r.width, r.models)):
         for model, grown in r.trees.items():
-            rows = np.flatnonzero(~np.isnan(label) & (fold == r.tasks[model].fold))
-            margin = margins[rows, model]
+            rows = np.flatnonzero(block.fold == r.tasks[model].fold)
+            margin, bins = block.margins[model, rows], block.bins[:, rows]
             for number, tree in enumerate(grown):
-                margin = margin + r.settings.step * np.array(tree.value)[tree.leaf_of(bins[rows])]
-                columns = [np.full(len(rows), model, np.int32), np.full(len(rows), number, np.int32), label[rows], margin]
+                margin = _advanced(margin, bins, [tree], r.settings.step)
+                columns = [np.full(len(rows), model, np.int32), np.full(len(rows), number, np.int32), block.label[rows], margin]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["model", "round", "label", "margin"])
 
 
@@ -328,8 +394,13 @@ def trained(table: DataFrame, tasks: Sequence[Task], width: int, settings: Boost
         ones, n = (sum(row[k] for row in totals if row.fold != task.fold) for k in ("ones", "n"))
         share = min(max(ones / n, 1e-6), 1 - 1e-6) if n else 0.5
         out.append(Trained(replace(task, margin=float(np.log(share / (1 - share)))), [], 0, []))
-    state = table.mapInArrow(partial(_first_margins, margins=np.array([t.task.margin for t in out])), StructType([*table.schema, StructField("margins", BinaryType())]))
-    state = stage(state)
+    with large_rows(table.sparkSession):
+        return _boosted(table, out, width, s, auc)
+
+
+def _boosted(table: DataFrame, out: list[Trained], width: int, s: BoostSettings, auc) -> list[Trained]:
+    blocks = partial(_blocks, first=np.array([t.task.margin for t in out]), width=width)
+    state = stage(table.where("__label IS NOT NULL").mapInArrow(blocks, _BLOCK), **_BLOCK_FILES)
     going, number = set(range(len(out))), 0
     while going and number < s.rounds:
         chunk: dict[int, list[Tree]] = {m: [] for m in sorted(going)}
@@ -365,7 +436,7 @@ def trained(table: DataFrame, tasks: Sequence[Task], width: int, settings: Boost
                     break
         going -= finished
         if going and number < s.rounds:
-            following = stage(state.mapInArrow(partial(_next_margins, r=r), state.schema))
+            following = stage(state.mapInArrow(partial(_next_margins, r=r), _BLOCK), **_BLOCK_FILES)
             release(state)
             state = following
     release(state)
@@ -387,13 +458,11 @@ _PREDICTED = "model int, label double, held_out boolean, prediction double"
 def _predictions(batches: Iterator[pa.RecordBatch], models: list[Trained], width: int, step: float) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches):
         label, fold = batch.column("__label").to_numpy(zero_copy_only=False), batch.column("fold").to_numpy()
-        bins = _matrix(batch, width)
+        bins = np.ascontiguousarray(_matrix(batch, width).T)
         for number, model in enumerate(models):
-            margin = np.full(len(bins), model.task.margin)
-            for tree in model.trees:
-                margin += step * np.array(tree.value)[tree.leaf_of(bins)]
+            margin = _advanced(np.full(len(label), model.task.margin), bins, model.trees, step)
             known = ~np.isnan(label)
-            columns = [pa.array(np.full(len(bins), number, np.int32)), pa.array(label, from_pandas=True), pa.array(np.where(known, fold == model.task.fold, False), mask=~known)]
+            columns = [pa.array(np.full(len(label), number, np.int32)), pa.array(label, from_pandas=True), pa.array(np.where(known, fold == model.task.fold, False), mask=~known)]
             yield pa.RecordBatch.from_arrays([batch.column("__key"), *columns, pa.array(1 / (1 + np.exp(-margin)))], names=["__key", *(p.split()[0] for p in _PREDICTED.split(", "))])
 
 

@@ -102,6 +102,7 @@ def evaluate_choices(
     release(table)
     known = judged.where("label IS NOT NULL")
     by_fold = stage(auc(known, "label", "prediction", ["model", "held_out"]))
+    by_choice = stage(auc(known.where("held_out").withColumn("choice", F.expr(f"model div {folds}")), "label", "prediction", ["choice"]))
     out = {}
     for number, (name, chosen) in enumerate(choices.items()):
         first = number * folds
@@ -115,7 +116,8 @@ def evaluate_choices(
             importances=df.sparkSession.createDataFrame(rows, _IMPORTANCE),
             valid_auc=areas.where("held_out").drop("held_out"),
             train_auc=areas.where("NOT held_out").drop("held_out"),
-            overall_auc=auc(valid, label, "prediction"),
+            # one row, also without any labelled rows
+            overall_auc=by_choice.where(f"choice = {number}").agg(*[F.first(c).alias(c) for c in ("auc", "positives", "negatives")]),
             features=list(chosen),
             models=models[first : first + folds],
         )
@@ -160,8 +162,10 @@ def ablation(
     """An evaluation per family choice, all over one table with the columns of every choice."""
     choices = [(name, tuple(chosen)) for name, chosen in choices]
     needed = {f for _, chosen in choices for f in chosen}
-    table = combine(base, {f: t for f, t in families.items() if f in needed})
-    return evaluate_choices(table, choice_features(base, families, choices, combine), **kfold_options)
+    table = stage(combine(base, {f: t for f, t in families.items() if f in needed}))  # read for the cut points, then for the bins
+    results = evaluate_choices(table, choice_features(base, families, choices, combine), **kfold_options)
+    release(table)
+    return results
 
 
 def ablation_report(results: Mapping[str, Evaluation]) -> DataFrame:

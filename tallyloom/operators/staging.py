@@ -36,11 +36,11 @@ def _application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tallyloom/{spark.sparkContext.applicationId}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and return the table read back."""
+def stage(df: DataFrame, **options) -> DataFrame:
+    """Write ``df`` to the shared folder, with the writer's ``options``, and return the table read back."""
     spark = df.sparkSession
     path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     if _open_scopes:
         _open_scopes[-1].append(path)
     table = spark.read.schema(df.schema).parquet(path)
@@ -59,6 +59,20 @@ def passing(spark: SparkSession) -> Iterator[None]:
             _delete(spark, path)
 
 
+@contextmanager
+def large_rows(spark: SparkSession, rows: int = 8) -> Iterator[None]:
+    """Scans and Python workers take few rows at once inside, for tables whose rows are megabytes."""
+    names = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, str(rows))
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
