@@ -14,7 +14,7 @@ from driver_queries.roles import all_tables, applications, role, with_roles
 from tallyloom.operators.evaluate import (
     BoostSettings, ablation_report, choice_features, evaluate_choices, kfold_boosted_trees, leading_features,
 )
-from tallyloom.operators.staging import stage
+from tallyloom.operators.staging import stage, wide_aggregates
 from tallyloom.plans import assembly
 from tallyloom.plans.application import application_features
 from tallyloom.plans.balances import card_features, installment_features, pos_features
@@ -171,13 +171,17 @@ def _once(make):
 @_once
 def _parts(spark, folder):
     tables = all_tables(spark, folder)
-    return assembly.base_table(tables), assembly.family_tables(tables)
+    with wide_aggregates(spark):  # families are written while their scores are planned
+        base, wide = assembly.base_table(tables), assembly.family_tables(tables, ("bureau", "prev"))
+    return base, wide | assembly.family_tables(tables, ("pos", "ins", "cc"))
 
 
 @_once
 def _features(spark, folder):
     """The table of all families, written once for both evaluations."""
-    return stage(assembly.assemble(*_parts(spark, folder)))
+    parts = _parts(spark, folder)
+    with wide_aggregates(spark):
+        return stage(assembly.assemble(*parts))
 
 
 @_once

@@ -60,17 +60,29 @@ def passing(spark: SparkSession) -> Iterator[None]:
 
 
 @contextmanager
-def large_rows(spark: SparkSession, rows: int = 8) -> Iterator[None]:
-    """Scans and Python workers take few rows at once inside, for tables whose rows are megabytes."""
-    names = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = {n: spark.conf.get(n) for n in names}
-    for n in names:
-        spark.conf.set(n, str(rows))
+def _set_inside(spark: SparkSession, values: dict[str, int]) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        for n, value in before.items():
-            spark.conf.set(n, value)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def large_rows(spark: SparkSession, rows: int = 8):
+    """Scans and Python workers take few rows at once inside, for tables whose rows are megabytes."""
+    return _set_inside(spark, {"spark.sql.parquet.columnarReaderBatchSize": rows, "spark.sql.execution.arrow.maxRecordsPerBatch": rows})
+
+
+def wide_aggregates(spark: SparkSession):
+    """For jobs inside that work out many columns a row.
+
+    The JVM never compiles a method of more than 8,000 bytes, which the generated code of a wide aggregate exceeds; below that
+    limit it is made of smaller ones. A file of few megabytes, but many rows, is read by more than one or two tasks.
+    """
+    return _set_inside(spark, {"spark.sql.codegen.hugeMethodLimit": 8_000, "spark.sql.files.openCostInBytes": 256 << 10})
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -8,6 +8,7 @@ import pyarrow as pa
 from driver_queries import families, roles
 from tallyloom.operators import boosting as B
 from tallyloom.operators import evaluate as E
+from tallyloom.operators import staging
 
 RNG = np.random.default_rng(4)
 
@@ -85,7 +86,7 @@ def test_both_evaluations_read_one_table(spark, monkeypatch):
     monkeypatch.setattr(families, "_done", {})
     monkeypatch.setattr(families, "all_tables", lambda *_: made.append(1))
     monkeypatch.setattr(families.assembly, "base_table", lambda _: base)
-    monkeypatch.setattr(families.assembly, "family_tables", lambda _: dict.fromkeys(families.assembly.FAMILIES, family))
+    monkeypatch.setattr(families.assembly, "family_tables", lambda _, chosen: dict.fromkeys(chosen, family))
     monkeypatch.setattr(families.assembly, "assemble", lambda b, f: b.join(family, "SK_ID_CURR", "left") if f else b)
     monkeypatch.setattr(families, "kfold_boosted_trees", lambda table, settings: seen.append(table))
     monkeypatch.setattr(families, "evaluate_choices", lambda table, choices, settings: seen.append(table) or choices)
@@ -94,6 +95,18 @@ def test_both_evaluations_read_one_table(spark, monkeypatch):
     assert len(made) == 1 and len(seen) == 2 and seen[0] is seen[1]
 
 
+def test_settings_for_wide_aggregates_end_with_their_jobs(spark):
+    names = "spark.sql.codegen.hugeMethodLimit", "spark.sql.files.openCostInBytes", "spark.sql.parquet.columnarReaderBatchSize"
+    before = [spark.conf.get(n) for n in names]
+    try:
+        with staging.wide_aggregates(spark), staging.large_rows(spark):
+            assert [spark.conf.get(n) for n in names] == ["8000", "262144", "8"]
+            raise KeyError
+    except KeyError:
+        pass
+    assert [spark.conf.get(n) for n in names] == before
+
+
 def test_lines_are_counted_once_for_all_tables(monkeypatch):
     asked = []
     monkeypatch.setattr(roles, "ordered_lines", lambda *_: asked.append(1) or "lines")
